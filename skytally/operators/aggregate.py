@@ -144,23 +144,35 @@ def tally(clean: DataFrame) -> DataFrame:
     as a group that never occurred.  Output: ``(metric, k1, k2, n)`` with
     metric ``__batch__`` rows ``rows`` / ``first_day`` / ``last_day``
     (days since 1970-01-01); no ``__batch__`` rows for an empty batch.
+
+    The per-row values (0/1 flags, parsed minutes) are projected once
+    below the grouping sets' ``Expand``, which then only copies them into
+    its six output rows per flight.
     """
+    per_row = clean.select(
+        "flight_date", *_GROUP_COLS,
+        _dep0().cast("int").alias("dep0"),
+        _both0().cast("int").alias("both0"),
+        _arr0().cast("int").alias("arr0"),
+        *[cause_present(c).alias(f"c_{c}") for c, _ in DELAY_REASONS],
+        *[cause_minutes(c, c).alias(f"m_{c}") for c, _ in DELAY_REASONS],
+    )
     aggs = [
         F.count(F.lit(1)).alias("n_all"),
-        F.count_if(_dep0()).alias("n_dep"),
-        F.count_if(_both0()).alias("n_both"),
-        F.count_if(_arr0()).alias("n_arr"),
+        F.sum("dep0").alias("n_dep"),
+        F.sum("both0").alias("n_both"),
+        F.sum("arr0").alias("n_arr"),
     ]
     for col, _ in DELAY_REASONS:
-        aggs.append(F.sum(cause_present(col)).cast("long").alias(f"c_{col}"))
-        aggs.append(F.sum(cause_minutes(col, col)).cast("long").alias(f"m_{col}"))
+        aggs.append(F.sum(f"c_{col}").alias(f"c_{col}"))
+        aggs.append(F.sum(f"m_{col}").alias(f"m_{col}"))
     aggs += [
         F.min("flight_date").alias("first_date"),
         F.max("flight_date").alias("last_date"),
         F.grouping_id().alias("gid"),
     ]
     sets = [list(s) for s in _SETS.values()] + [[]]
-    agg = clean.groupingSets(sets, *_GROUP_COLS).agg(*aggs)
+    agg = per_row.groupingSets(sets, *_GROUP_COLS).agg(*aggs)
 
     empty = F.lit("")
     entries = None

@@ -17,6 +17,7 @@ Cost model of a run, whatever the input size:
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -144,7 +145,7 @@ def run_batch(
         batch = {r.k1: r.n for r in state.where(F.col("metric") == BATCH).select("k1", "n").collect()}
         n_rows = int(batch.get("rows", 0))
         if n_rows == 0:
-            store.log(run_id, "no_new_data", f"no flights after {mark.isoformat()}")
+            store.log(run_id, ("no_new_data", f"no flights after {mark.isoformat()}"))
             return BatchResult("no_new_data", None, None, None, 0,
                                _published(store, previous.run_id) if previous else {})
         epoch = _dt.date(1970, 1, 1)
@@ -152,17 +153,20 @@ def run_batch(
         last = epoch + _dt.timedelta(days=int(batch["last_day"]))
 
         counts_state = state.where(F.col("metric") != BATCH)
-        for name, df in metrics_from_state(counts_state, airports_df, airlines_df, options).items():
-            store.write_metric(df, run_id, name)
+        tables = metrics_from_state(counts_state, airports_df, airlines_df, options)
+        # Independent small jobs: submitted together so they share the cluster.
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            for f in [pool.submit(store.write_metric, df, run_id, name) for name, df in tables.items()]:
+                f.result()
 
         store.commit(seq, run_id, first, last, n_rows)
-        store.log(run_id, "collected", f"flights from {first.isoformat()} to {last.isoformat()}")
-        store.log(run_id, "processed", f"{n_rows} flights")
+        store.log(run_id, ("collected", f"flights from {first.isoformat()} to {last.isoformat()}"),
+                  ("processed", f"{n_rows} flights"))
         return BatchResult("processed", run_id, first, last, n_rows, _published(store, run_id))
     except Exception as err:
         message = str(err).strip().splitlines()[0][:2000] if str(err).strip() else type(err).__name__
         try:
-            store.log(run_id, "error", message)
+            store.log(run_id, ("error", message))
         except Exception:  # the original error matters more than the log line
             pass
         raise

@@ -124,12 +124,24 @@ class StateStore:
         df.write.mode("errorifexists").parquet(path)
         return path
 
+    def _append_rows(self, rows: list[list], schema: str, folder: str) -> None:
+        """Append a few literal rows (built JVM-side, no Python data transfer)."""
+        fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+        structs = [
+            F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows
+        ]
+        df = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+        df.write.mode("append").parquet(self._p(folder))
+
     def commit(self, seq: int, run_id: str, first_date, last_date, flights: int) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(seq, run_id, first_date, last_date, flights, now)]
-        self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self._p("commits"))
-
-    def log(self, run_id: str | None, status: str, detail: str) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(run_id, status, detail, now)]
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._p("log"))
+        row = [seq, run_id, first_date.isoformat(), last_date.isoformat(), flights, _now()]
+        self._append_rows([row], COMMIT_SCHEMA, "commits")
+
+    def log(self, run_id: str | None, *entries: tuple[str, str]) -> None:
+        """Append ``(status, detail)`` entries of one run to the run log."""
+        now = _now()
+        self._append_rows([[run_id, status, detail, now] for status, detail in entries], LOG_SCHEMA, "log")
+
+
+def _now() -> str:
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
