@@ -92,8 +92,8 @@ class StateStore:
 
     def read_snapshot(self, run_id: str) -> DataFrame:
         """State of a run as ``(metric, k1, k2, n)``; missing data raises."""
-        df = self.spark.read.parquet(self.snapshot_path(run_id))
-        return df.select("metric", "k1", "k2", F.col("n").cast("long").alias("n"))
+        df = self.spark.read.schema(STATE_SCHEMA).parquet(self.snapshot_path(run_id))
+        return df.select("metric", "k1", "k2", "n")
 
     def committed_state(self) -> DataFrame:
         """State of the newest committed run; empty before the first commit."""
