@@ -54,12 +54,25 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    def full_run() -> float:
+        # One complete run_batch (all seven metrics, fresh state) over all flights.
+        from skytally.plans.batch import run_batch
+        from skytally.plans.catalogue import Inputs
+        from skytally.session import scratch_dir
+
+        i = Inputs(spark, sf_dir)
+        t0 = time.perf_counter()
+        run_batch(spark, scratch_dir(spark, "bench"), i.flights, i.airlines, i.airports)
+        return time.perf_counter() - t0
+
     names = only or HEADLINE
     run(names[0])  # JVM / codegen warm-up
     times = {}
     for name in names:
         runs = [run(name) for _ in range(repeat)]
         times[name] = round(statistics.median(runs), 3)
+    if not only:
+        times["run_batch_full"] = round(statistics.median([full_run() for _ in range(repeat)]), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_sec",
