@@ -74,3 +74,15 @@ COUNT_METRICS = [
 ]
 
 STATE_SCHEMA = "metric STRING, k1 STRING, k2 STRING, n BIGINT"
+
+# Names of the published metric tables of a run (one folder each).
+METRIC_NAMES = [
+    "top_airports",
+    "top_airlines",
+    "top_carriers_per_origin",
+    "top_destinations_per_origin",
+    "weekdays_by_ontime",
+    "delay_reason_counts",
+    "delay_reason_percent",
+    "delay_reason_minutes",
+]

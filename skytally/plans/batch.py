@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     BATCH,
     DEPARTURES_BY_ORIGIN,
+    METRIC_NAMES,
     NOTHING_PROCESSED,
     ONTIME_ARRIVALS_BY_WEEKDAY,
     ONTIME_BY_AIRLINE,
@@ -38,19 +39,6 @@ from ..sources import read_dictionary_csv, read_flights_csv
 from ..state import StateStore
 from . import metrics as M
 
-# Output names of the published metric tables (one folder each).
-METRIC_NAMES = [
-    "top_airports",
-    "top_airlines",
-    "top_carriers_per_origin",
-    "top_destinations_per_origin",
-    "weekdays_by_ontime",
-    "delay_reason_counts",
-    "delay_reason_percent",
-    "delay_reason_minutes",
-]
-
-
 @dataclass(frozen=True)
 class RunOptions:
     """Sort directions of the four rankings and their length."""

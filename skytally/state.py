@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import STATE_SCHEMA
+from .constants import METRIC_NAMES, STATE_SCHEMA
 
 COMMIT_SCHEMA = (
     "seq BIGINT, run_id STRING, first_date DATE, last_date DATE, flights BIGINT, committed_at TIMESTAMP"
@@ -103,6 +103,8 @@ class StateStore:
         return self.read_snapshot(c.run_id)
 
     def committed_metric(self, name: str) -> DataFrame:
+        """A published metric table of the newest committed run."""
+        _known_metric(name)
         c = self.latest_commit()
         if c is None:
             raise LookupError("no committed run yet")
@@ -120,6 +122,7 @@ class StateStore:
         return path
 
     def write_metric(self, df: DataFrame, run_id: str, name: str) -> str:
+        _known_metric(name)
         path = self.metrics_path(run_id, name)
         df.write.mode("errorifexists").parquet(path)
         return path
@@ -143,5 +146,10 @@ class StateStore:
         self._append_rows([[run_id, status, detail, now] for status, detail in entries], LOG_SCHEMA, "log")
 
 
+def _known_metric(name: str) -> None:
+    if name not in METRIC_NAMES:
+        raise KeyError(f"unknown metric {name!r}; known: {', '.join(METRIC_NAMES)}")
+
+
 def _now() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")

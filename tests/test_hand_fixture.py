@@ -143,3 +143,13 @@ def test_top_k_cut(spark, files):
     assert ranked(m["top_airports"], "airport", "flights") == [("Kennedy", 3)]
     assert per_origin(m["top_carriers_per_origin"], "airline", "ontime_departures") == {
         "Kennedy": [("Delta", 1)], "Los Angeles": [("United", 1)]}
+
+
+def test_unknown_metric_name_is_rejected(spark, files):
+    run(spark, files, "b1")
+    store = StateStore(spark, files["base"])
+    assert store.committed_metric("top_airports").count() == 3
+    with pytest.raises(KeyError):
+        store.committed_metric("topTenAirportz")
+    with pytest.raises(KeyError):
+        store.write_metric(store.committed_metric("top_airports"), "x", "nonsense")
