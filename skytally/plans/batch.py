@@ -35,19 +35,36 @@ from ..constants import (
     TOP_K,
 )
 from ..operators import bounded_broadcast, clean_flights, merge_counts, reasons_from_counts, slice_metric, tally
+from ..sinks import write_metric_lines
 from ..sources import read_dictionary_csv, read_flights_csv
 from ..state import StateStore
 from . import metrics as M
 
 @dataclass(frozen=True)
 class RunOptions:
-    """Sort directions of the four rankings and their length."""
+    """Sort directions of the four rankings, their length, and whether the
+    metrics are also exported as plain text lines (the original format)."""
 
     airports_ascending: bool = False
     airlines_ascending: bool = True
     carriers_ascending: bool = True
     destinations_ascending: bool = True
     k: int = TOP_K
+    export_lines: bool = False
+
+
+# Columns and order of each metric in the plain-line export: names and
+# counts only, ``name,value`` per line as in the original output files.
+LINE_LAYOUT = {
+    "top_airports": (["airport", "flights"], ["rank"]),
+    "top_airlines": (["airline", "ontime_flights"], ["rank"]),
+    "top_carriers_per_origin": (["origin", "airline", "ontime_departures"], ["origin", "rank"]),
+    "top_destinations_per_origin": (["origin", "destination", "ontime_departures"], ["origin", "rank"]),
+    "weekdays_by_ontime": (["week_day", "ontime_arrivals"], ["rank"]),
+    "delay_reason_counts": (["reason", "flights"], ["reason_id"]),
+    "delay_reason_percent": (["reason", "percent"], ["reason_id"]),
+    "delay_reason_minutes": (["reason", "minutes"], ["reason_id"]),
+}
 
 
 @dataclass
@@ -146,6 +163,16 @@ def run_batch(
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
             for f in [pool.submit(store.write_metric, df, run_id, name) for name, df in tables.items()]:
                 f.result()
+        if options.export_lines:
+            with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+                jobs = []
+                for name in tables:
+                    cols, order = LINE_LAYOUT[name]
+                    published = spark.read.parquet(store.metrics_path(run_id, name))
+                    jobs.append(pool.submit(write_metric_lines, published, store.lines_path(run_id, name),
+                                            cols, order))
+                for f in jobs:
+                    f.result()
 
         store.commit(seq, run_id, first, last, n_rows)
         store.log(run_id, ("collected", f"flights from {first.isoformat()} to {last.isoformat()}"),

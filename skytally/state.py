@@ -5,6 +5,7 @@ Layout below ``base_path``::
     snapshots/run=<run_id>/metric=<m>/   complete state after a run (parquet,
                                          partitioned by metric for pruning)
     metrics/run=<run_id>/<name>/         the published metric tables
+    metrics_text/run=<run_id>/<name>/    optional plain-text export of them
     commits/                             one row per committed run (appended)
     log/                                 run log rows (appended)
 
@@ -67,6 +68,10 @@ class StateStore:
         p = self._p("metrics", f"run={run_id}")
         return os.path.join(p, name) if name else p
 
+    def lines_path(self, run_id: str, name: str) -> str:
+        """Plain-text export of a metric (``name,value`` lines, no header)."""
+        return self._p("metrics_text", f"run={run_id}", name)
+
     # -- reads ---------------------------------------------------------------
     def _read(self, path: str, schema: str) -> DataFrame:
         try:

@@ -153,3 +153,29 @@ def test_unknown_metric_name_is_rejected(spark, files):
         store.committed_metric("topTenAirportz")
     with pytest.raises(KeyError):
         store.write_metric(store.committed_metric("top_airports"), "x", "nonsense")
+
+
+def test_text_export_and_cli(spark, tmp_path):
+    import os
+
+    from skytally.__main__ import main
+
+    base = tmp_path / "job"
+    write_files(base / "input", {"airports.csv": AIRPORTS, "airlines.csv": AIRLINES,
+                                 "flights.csv": HEADER + BATCH1, "later.csv": HEADER + BATCH2})
+    assert main(["--base-path", str(base)]) == 0
+    assert main(["--base-path", str(base), "--input-file", "later.csv"]) == 0
+    store = StateStore(spark, str(base / "state"))
+    run_id = store.latest_commit().run_id
+    lines = {}
+    for name in ["top_airports", "top_carriers_per_origin", "delay_reason_percent", "weekdays_by_ontime"]:
+        folder = store.lines_path(run_id, name)
+        parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+        lines[name] = [ln for f in parts for ln in open(os.path.join(folder, f)).read().splitlines()]
+    assert lines["top_airports"] == ["Kennedy,5", "Los Angeles,3", "San Francisco,3"]
+    assert lines["top_carriers_per_origin"] == [
+        "Kennedy,Delta,1", "Kennedy,American,3", "Los Angeles,United,1", "San Francisco,United,1"]
+    assert lines["delay_reason_percent"] == [
+        "AIR_SYSTEM_DELAY,38.89", "SECURITY_DELAY,0.0", "AIRLINE_DELAY,13.33",
+        "LATE_AIRCRAFT_DELAY,36.67", "WEATHER_DELAY,11.11"]
+    assert lines["weekdays_by_ontime"] == ["6,2", "4,1", "5,1", "7,1"]
