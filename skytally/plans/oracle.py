@@ -84,41 +84,55 @@ def _long_counts(where: str = "TRUE") -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _top_global(count_cte: str, key: str, value: str, dictionary: str, name: str, desc: bool) -> str:
+def _top_global(count_sql: str, key: str, value: str, dictionary: str, name: str, desc: bool,
+                p: str = "") -> tuple[list[str], str]:
+    """CTEs and body of a global top-10 with names looked up after the cut."""
     order = f"{value} {'DESC' if desc else 'ASC'}, {key}"
-    return _with(
-        count_cte,
-        f"r AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM c)",
-        body=(f"SELECT r.rank, r.{key}, d.name AS {name}, r.{value} FROM r "
-              f"JOIN {dictionary} d ON d.code = r.{key} WHERE r.rank <= 10"),
-    )
+    ctes = [f"{p}c AS ({count_sql})",
+            f"{p}r AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM {p}c)"]
+    body = (f"SELECT r.rank, r.{key}, d.name AS {name}, r.{value} FROM {p}r r "
+            f"JOIN {dictionary} d ON d.code = r.{key} WHERE r.rank <= 10")
+    return ctes, body
 
 
-def _top_airports(desc: bool) -> str:
-    return _top_global(
-        "c AS (SELECT origin_airport AS airport_code, count(*) AS flights FROM clean GROUP BY 1)",
-        "airport_code", "flights", "airports_d", "airport", desc)
+def _top_airports(desc: bool, p: str = "") -> tuple[list[str], str]:
+    return _top_global("SELECT origin_airport AS airport_code, count(*) AS flights FROM clean GROUP BY 1",
+                       "airport_code", "flights", "airports_d", "airport", desc, p)
 
 
-def _top_airlines(desc: bool) -> str:
-    return _top_global(
-        "c AS (SELECT airline AS airline_code, count(*) AS ontime_flights FROM clean "
-        "WHERE departure_delay = '0' AND arrival_delay = '0' GROUP BY 1)",
-        "airline_code", "ontime_flights", "airlines_d", "airline", desc)
+def _top_airlines(desc: bool, p: str = "") -> tuple[list[str], str]:
+    return _top_global("SELECT airline AS airline_code, count(*) AS ontime_flights FROM clean "
+                       "WHERE departure_delay = '0' AND arrival_delay = '0' GROUP BY 1",
+                       "airline_code", "ontime_flights", "airlines_d", "airline", desc, p)
 
 
-def _top_per_origin(partner: str, partner_col: str, dictionary: str, desc: bool, select: str | None = None) -> str:
+def _top_per_origin(partner: str, partner_col: str, dictionary: str, desc: bool, p: str = "",
+                    select: str | None = None) -> tuple[list[str], str]:
+    """CTEs and body of a per-origin top-10 (origin and partner names looked up after the cut)."""
     order = f"ontime_departures {'DESC' if desc else 'ASC'}, {partner}_code"
-    body = select or (
-        f"SELECT r.origin_code, o.name AS origin, r.rank, r.{partner}_code, p.name AS {partner}, "
-        f"r.ontime_departures")
-    return _with(
-        f"c AS (SELECT origin_airport AS origin_code, {partner_col} AS {partner}_code, "
+    ctes = [
+        f"{p}c AS (SELECT origin_airport AS origin_code, {partner_col} AS {partner}_code, "
         f"count(*) AS ontime_departures FROM clean WHERE departure_delay = '0' GROUP BY 1, 2)",
-        f"r AS (SELECT *, row_number() OVER (PARTITION BY origin_code ORDER BY {order}) AS rank FROM c)",
-        body=(f"{body} FROM r JOIN airports_d o ON o.code = r.origin_code "
-              f"JOIN {dictionary} p ON p.code = r.{partner}_code WHERE r.rank <= 10"),
-    )
+        f"{p}r AS (SELECT *, row_number() OVER (PARTITION BY origin_code ORDER BY {order}) AS rank FROM {p}c)",
+    ]
+    cols = select or (f"r.origin_code, o.name AS origin, r.rank, r.{partner}_code, p.name AS {partner}, "
+                      f"r.ontime_departures")
+    body = (f"SELECT {cols} FROM {p}r r JOIN airports_d o ON o.code = r.origin_code "
+            f"JOIN {dictionary} p ON p.code = r.{partner}_code WHERE r.rank <= 10")
+    return ctes, body
+
+
+def _weekdays(p: str = "") -> tuple[list[str], str]:
+    ctes = [
+        f"{p}c AS (SELECT week_day, count(*) AS ontime_arrivals FROM clean WHERE arrival_delay = '0' GROUP BY 1)",
+        f"{p}r AS (SELECT *, row_number() OVER (ORDER BY ontime_arrivals DESC, week_day) AS rank FROM {p}c)",
+    ]
+    return ctes, f"SELECT r.rank, r.week_day, r.ontime_arrivals FROM {p}r r"
+
+
+def _query(parts: tuple[list[str], str]) -> str:
+    ctes, body = parts
+    return _with(*ctes, body=body)
 
 
 def _runs_log() -> str:
@@ -134,48 +148,34 @@ def _runs_log() -> str:
 
 
 def _full_run_metrics() -> str:
-    parts = [
+    """All metric tables of a run with default options, stacked as (metric, rank, key, n)."""
+    metrics = {
+        "m1": _top_airports(True, "m1_"),
+        "m2": _top_airlines(False, "m2_"),
+        "m3": _top_per_origin("airline", "airline", "airlines_d", False, "m3_"),
+        "m4": _top_per_origin("destination", "destination_airport", "airports_d", False, "m4_"),
+        "m5": _weekdays("m5_"),
+    }
+    ctes = []
+    for name, (parts, body) in metrics.items():
+        ctes += parts
+        ctes.append(f"{name} AS ({body})")
+    ctes.append(_totals())
+    rows = [
         "SELECT 'top_airports' AS metric, rank, airport AS key, flights AS n FROM m1",
         "SELECT 'top_airlines', rank, airline, ontime_flights FROM m2",
         "SELECT 'top_carriers_per_origin', rank, origin || '|' || airline, ontime_departures FROM m3",
         "SELECT 'top_destinations_per_origin', rank, origin || '|' || destination, ontime_departures FROM m4",
         "SELECT 'weekdays_by_ontime', rank, week_day, ontime_arrivals FROM m5",
     ]
-    for i, (c, label) in enumerate(DELAY_REASONS, 1):
-        parts.append(f"SELECT 'delay_reason_counts', {i}, '{label}', c{i} FROM t")
-        parts.append(f"SELECT 'delay_reason_minutes', {i}, '{label}', m{i} FROM t")
-        pct = _PERCENT.format(i=i)
-        parts.append(f"SELECT 'delay_reason_percent', {i}, '{label}', CAST(round({pct} * 100) AS BIGINT) FROM t")
-
-    ctes = [
-        _named(_top_airports(True), "m1", "c1", "r1"),
-        _named(_top_airlines(False), "m2", "c2", "r2"),
-        _named(_top_per_origin("airline", "airline", "airlines_d", False), "m3", "c3", "r3"),
-        _named(_top_per_origin("destination", "destination_airport", "airports_d", False), "m4", "c4", "r4"),
-        _named(_weekdays(), "m5", "c5", "r5"),
-        _totals(),
-    ]
-    return _with(*ctes, body="SELECT metric, CAST(rank AS BIGINT) AS rank, key, CAST(n AS BIGINT) AS n FROM (\n"
-                 + "\nUNION ALL ".join(parts) + ") x")
-
-
-def _named(sql: str, name: str, c: str, r: str) -> str:
-    """Turn one generated query (``c``/``r`` CTEs + body) into CTEs named
-    ``c``/``r``/``name`` so several can share one WITH clause."""
-    rest = sql[len("WITH " + _BASE + ",\n"):]
-    ctes, body = rest.split("\nSELECT ", 1)
-    ctes = ctes.replace("c AS (", f"{c} AS (", 1).replace(" FROM c)", f" FROM {c})")
-    ctes = ctes.replace("r AS (", f"{r} AS (", 1)
-    body = ("SELECT " + body).replace(" FROM r ", f" FROM {r} r ")
-    return f"{ctes.rstrip(',')},\n{name} AS ({body})"
-
-
-def _weekdays() -> str:
-    return _with(
-        "c AS (SELECT week_day, count(*) AS ontime_arrivals FROM clean WHERE arrival_delay = '0' GROUP BY 1)",
-        "r AS (SELECT *, row_number() OVER (ORDER BY ontime_arrivals DESC, week_day) AS rank FROM c)",
-        body="SELECT r.rank, r.week_day, r.ontime_arrivals FROM r ",
-    )
+    for i, (_, label) in enumerate(DELAY_REASONS, 1):
+        rows.append(f"SELECT 'delay_reason_counts', {i}, '{label}', c{i} FROM t")
+        rows.append(f"SELECT 'delay_reason_minutes', {i}, '{label}', m{i} FROM t")
+        rows.append(f"SELECT 'delay_reason_percent', {i}, '{label}', "
+                    f"CAST(round({_PERCENT.format(i=i)} * 100) AS BIGINT) FROM t")
+    union = "\nUNION ALL ".join(rows)
+    return _with(*ctes, body=("SELECT metric, CAST(rank AS BIGINT) AS rank, key, CAST(n AS BIGINT) AS n "
+                              f"FROM (\n{union}) x"))
 
 
 def _state_with_batch() -> str:
@@ -213,15 +213,17 @@ ORACLE: dict[str, str] = {
     "ontime_by_origin_destination": _with(
         body=("SELECT origin_airport, destination_airport, count(*) AS ontime_departures FROM clean "
               "WHERE departure_delay = '0' GROUP BY origin_airport, destination_airport")),
-    "top_airports_desc": _top_airports(True),
-    "top_airports_asc": _top_airports(False),
-    "top_airlines_asc": _top_airlines(False),
-    "top_airlines_desc": _top_airlines(True),
-    "top_carriers_per_origin_asc": _top_per_origin("airline", "airline", "airlines_d", False),
-    "top_carriers_per_origin_desc": _top_per_origin("airline", "airline", "airlines_d", True),
-    "top_destinations_per_origin_asc": _top_per_origin("destination", "destination_airport", "airports_d", False),
-    "top_destinations_per_origin_desc": _top_per_origin("destination", "destination_airport", "airports_d", True),
-    "weekdays_by_ontime": _weekdays(),
+    "top_airports_desc": _query(_top_airports(True)),
+    "top_airports_asc": _query(_top_airports(False)),
+    "top_airlines_asc": _query(_top_airlines(False)),
+    "top_airlines_desc": _query(_top_airlines(True)),
+    "top_carriers_per_origin_asc": _query(_top_per_origin("airline", "airline", "airlines_d", False)),
+    "top_carriers_per_origin_desc": _query(_top_per_origin("airline", "airline", "airlines_d", True)),
+    "top_destinations_per_origin_asc": _query(
+        _top_per_origin("destination", "destination_airport", "airports_d", False)),
+    "top_destinations_per_origin_desc": _query(
+        _top_per_origin("destination", "destination_airport", "airports_d", True)),
+    "weekdays_by_ontime": _query(_weekdays()),
     "delay_reason_counts": _with(_totals(), body=_reason_rows("c{i}", "flights")),
     "delay_reason_minutes": _with(_totals(), body=_reason_rows("m{i}", "minutes")),
     "delay_reason_percent": _with(_totals(), body=_reason_rows(_PERCENT, "percent")),
@@ -238,9 +240,9 @@ ORACLE: dict[str, str] = {
         "FROM nation WHERE n_regionkey <> 4"),
     "csv_scan_roundtrip": _with(body="SELECT * FROM clean"),
     "state_roundtrip": _state_with_batch(),
-    "metrics_sink_roundtrip": _top_per_origin(
+    "metrics_sink_roundtrip": _query(_top_per_origin(
         "airline", "airline", "airlines_d", False,
-        select="SELECT o.name AS origin, p.name AS airline, r.ontime_departures, r.rank"),
+        select="o.name AS origin, p.name AS airline, r.ontime_departures, r.rank")),
     "incremental_two_batches": _long(),
     "incremental_late_rows_ignored": _long(),
     "incremental_hwm": _with(body=(
