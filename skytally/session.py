@@ -32,7 +32,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     fresh local folder is created and registered as checkpoint directory.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect has no SparkContext
@@ -41,10 +40,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="skytally-checkpoint-")
-        if sc is not None:
-            sc.setCheckpointDir(path)
-        else:
-            spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            if sc is not None:
+                sc.setCheckpointDir(path)
+            else:
+                spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # a session that does not accept it still gets the folder
+            pass
     return path
 
 
