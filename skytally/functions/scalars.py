@@ -43,46 +43,79 @@ def date_lit(value: _dt.date) -> Column:
     return F.lit(value.isoformat()).cast("date")
 
 
-def is_on_time(col: Column | str) -> Column:
+# The rules below are written as SQL expression text over a column name and
+# turned into a Column with one ``F.expr`` call: the package builds large
+# expressions (the one-pass tally), and composing them call by call through
+# the Python API costs thousands of driver round trips per query.
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def is_on_time_sql(col: str) -> str:
+    return f"({_ident(col)} = '{ON_TIME}')"
+
+
+def is_blank_or_zero_sql(col: str) -> str:
+    return f"({_ident(col)} IN ('', '{ON_TIME}'))"
+
+
+def cause_present_sql(col: str) -> str:
+    return f"CASE WHEN {is_blank_or_zero_sql(col)} THEN 0 ELSE 1 END"
+
+
+def strict_int_sql(col: str) -> str:
+    c = _ident(col)
+    return f"CASE WHEN {c} RLIKE '^[+-]?[0-9]+$' THEN try_cast({c} AS INT) END"
+
+
+def cause_minutes_sql(col: str, what: str) -> str:
+    c, parsed = _ident(col), strict_int_sql(col)
+    return (
+        f"CASE WHEN {is_blank_or_zero_sql(col)} THEN 0 "
+        f"WHEN ({parsed}) IS NULL THEN raise_error(concat('not a number of minutes in {what}: [', {c}, ']')) "
+        f"ELSE {parsed} END"
+    )
+
+
+def is_on_time(col: str) -> Column:
     """Exactly '0' minutes: early ('-3') and missing ('') do not count."""
-    return _c(col) == F.lit(ON_TIME)
+    return F.expr(is_on_time_sql(col))
 
 
-def is_blank_or_zero(col: Column | str) -> Column:
-    return _c(col).isin("", ON_TIME)
+def is_blank_or_zero(col: str) -> Column:
+    return F.expr(is_blank_or_zero_sql(col))
 
 
-def cause_present(col: Column | str) -> Column:
+def cause_present(col: str) -> Column:
     """0/1 indicator of a delay cause: anything but '' or '0' counts."""
-    return F.when(is_blank_or_zero(col), F.lit(0)).otherwise(F.lit(1))
+    return F.expr(cause_present_sql(col))
 
 
-def strict_int(col: Column | str) -> Column:
+def strict_int(col: str) -> Column:
     """Integer text as Java's ``Integer.parseInt`` reads it, else NULL.
 
     Optional sign and digits only (no blanks, no decimal point), and the
     value must fit in 32 bits.  Independent of the session's ANSI flag.
     """
-    c = _c(col)
-    return F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("int"))
+    return F.expr(strict_int_sql(col))
 
 
-def cause_minutes(col: Column | str, what: str) -> Column:
+def cause_minutes(col: str, what: str) -> Column:
     """Minutes of one delay cause: '' and '0' are 0, other text must be an
     integer or the query fails (the job aborts on such a value)."""
-    c = _c(col)
-    parsed = strict_int(c)
-    return (
-        F.when(is_blank_or_zero(c), F.lit(0))
-        .when(parsed.isNull(),
-              F.raise_error(F.concat(F.lit(f"not a number of minutes in {what}: '"), c, F.lit("'"))))
-        .otherwise(parsed)
-    )
+    return F.expr(cause_minutes_sql(col, what))
+
+
+def half_up_percent_sql(part: str, total: str) -> str:
+    """SQL of ``part`` as a percentage of ``total`` (both SQL expressions)."""
+    return (f"CASE WHEN ({total}) = 0 THEN CAST(0.0 AS DOUBLE) "
+            f"ELSE floor(CAST(10000.0 AS DOUBLE) * ({part}) / ({total}) + CAST(0.5 AS DOUBLE)) "
+            f"/ CAST(100.0 AS DOUBLE) END")
 
 
-def half_up_percent(part: Column | str, total: Column | str) -> Column:
+def half_up_percent(part: str, total: str) -> Column:
     """``part`` as a percentage of ``total`` with two decimals, half up;
-    0.0 when the total is 0 (plain division raises under ANSI)."""
-    p, t = _c(part), _c(total)
-    share = F.lit(10000.0) * p / t
-    return F.when(t == 0, F.lit(0.0)).otherwise(F.floor(share + F.lit(0.5)) / F.lit(100.0))
+    0.0 when the total is 0 (plain division raises under ANSI).
+    ``part`` and ``total`` are column names or SQL expressions."""
+    return F.expr(half_up_percent_sql(part, total))

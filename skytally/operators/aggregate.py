@@ -24,28 +24,19 @@ from ..constants import (
     REASON_COUNT,
     REASON_MINUTES,
 )
-from ..functions import cause_minutes, cause_present, is_on_time
+from ..functions import cause_minutes_sql, cause_present_sql, is_on_time_sql
 
+_DEP0 = is_on_time_sql("departure_delay")
+_ARR0 = is_on_time_sql("arrival_delay")
+_BOTH0 = f"({_DEP0} AND {_ARR0})"
 
-def _dep0() -> Column:
-    return is_on_time("departure_delay")
-
-
-def _arr0() -> Column:
-    return is_on_time("arrival_delay")
-
-
-def _both0() -> Column:
-    return _dep0() & _arr0()
-
-
-# metric -> (row condition, k1 column, k2 column or None)
+# metric -> (row condition as SQL, k1 column, k2 column or None)
 _PLAIN_COUNTS = {
     DEPARTURES_BY_ORIGIN: (None, "origin_airport", None),
-    ONTIME_BY_AIRLINE: (_both0, "airline", None),
-    ONTIME_BY_ORIGIN_AIRLINE: (_dep0, "origin_airport", "airline"),
-    ONTIME_BY_ORIGIN_DEST: (_dep0, "origin_airport", "destination_airport"),
-    ONTIME_ARRIVALS_BY_WEEKDAY: (_arr0, "week_day", None),
+    ONTIME_BY_AIRLINE: (_BOTH0, "airline", None),
+    ONTIME_BY_ORIGIN_AIRLINE: (_DEP0, "origin_airport", "airline"),
+    ONTIME_BY_ORIGIN_DEST: (_DEP0, "origin_airport", "destination_airport"),
+    ONTIME_ARRIVALS_BY_WEEKDAY: (_ARR0, "week_day", None),
 }
 
 
@@ -59,7 +50,7 @@ def metric_counts(clean: DataFrame, metric: str) -> DataFrame:
     """New counts of one ranking metric as ``(k1, k2, n)``, straight from flights."""
     cond, k1, k2 = _PLAIN_COUNTS[metric]
     keys = [k1] + ([k2] if k2 else [])
-    c = count_by(clean, keys, cond() if cond else None)
+    c = count_by(clean, keys, F.expr(cond) if cond else None)
     return c.select(
         F.col(k1).alias("k1"),
         (F.col(k2) if k2 else F.lit("")).alias("k2"),
@@ -73,26 +64,25 @@ def reason_totals(clean: DataFrame, *, counts: bool = True, minutes: bool = True
     aggs = []
     for col, _ in DELAY_REASONS:
         if counts:
-            aggs.append(F.coalesce(F.sum(cause_present(col)), F.lit(0)).cast("long").alias(f"c_{col}"))
+            aggs.append(f"CAST(coalesce(sum({cause_present_sql(col)}), 0) AS BIGINT) AS c_{col}")
         if minutes:
-            aggs.append(
-                F.coalesce(F.sum(cause_minutes(col, col)), F.lit(0)).cast("long").alias(f"m_{col}")
-            )
-    return clean.agg(*aggs)
+            aggs.append(f"CAST(coalesce(sum({cause_minutes_sql(col, col)}), 0) AS BIGINT) AS m_{col}")
+    return clean.agg(*[F.expr(a) for a in aggs])
+
 
+def _struct_sql(fields: list[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields) + ")"
 
-def reason_rows(one_row: DataFrame, prefix: str, value_name: str, value_type: str = "long") -> DataFrame:
+
+def reason_rows(one_row: DataFrame, prefix: str, value_name: str, value_type: str = "BIGINT") -> DataFrame:
     """Unpivot the five ``<prefix><cause>`` columns of a one-row frame into
     ``(reason_id, reason, value_name)`` in the fixed cause order."""
-    rows = F.array(*[
-        F.struct(
-            F.lit(i + 1).alias("reason_id"),
-            F.lit(label).alias("reason"),
-            F.col(f"{prefix}{col}").cast(value_type).alias(value_name),
-        )
+    rows = [
+        _struct_sql([("reason_id", str(i + 1)), ("reason", f"'{label}'"),
+                     (value_name, f"CAST({prefix}{col} AS {value_type})")])
         for i, (col, label) in enumerate(DELAY_REASONS)
-    ])
-    return one_row.select(F.inline(rows))
+    ]
+    return one_row.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 # ---------------------------------------------------------------------------
@@ -123,13 +113,10 @@ def _grouping_id(cols: tuple[str, ...]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(_GROUP_COLS) if c not in cols)
 
 
-def _entry(metric: str | Column, k1: Column, k2: Column, n: Column) -> Column:
-    return F.struct(
-        (F.lit(metric) if isinstance(metric, str) else metric).alias("metric"),
-        k1.cast("string").alias("k1"),
-        k2.cast("string").alias("k2"),
-        n.cast("long").alias("n"),
-    )
+def _entry_sql(metric: str, k1: str, k2: str, n: str) -> str:
+    """SQL of one ``(metric, k1, k2, n)`` struct; ``metric`` is a literal."""
+    return _struct_sql([("metric", f"'{metric}'"), ("k1", f"CAST({k1} AS STRING)"),
+                        ("k2", f"CAST({k2} AS STRING)"), ("n", f"CAST({n} AS BIGINT)")])
 
 
 def tally(clean: DataFrame) -> DataFrame:
@@ -149,52 +136,36 @@ def tally(clean: DataFrame) -> DataFrame:
     below the grouping sets' ``Expand``, which then only copies them into
     its six output rows per flight.
     """
-    per_row = clean.select(
+    per_row = clean.selectExpr(
         "flight_date", *_GROUP_COLS,
-        _dep0().cast("int").alias("dep0"),
-        _both0().cast("int").alias("both0"),
-        _arr0().cast("int").alias("arr0"),
-        *[cause_present(c).alias(f"c_{c}") for c, _ in DELAY_REASONS],
-        *[cause_minutes(c, c).alias(f"m_{c}") for c, _ in DELAY_REASONS],
+        f"CAST({_DEP0} AS INT) AS dep0",
+        f"CAST({_BOTH0} AS INT) AS both0",
+        f"CAST({_ARR0} AS INT) AS arr0",
+        *[f"{cause_present_sql(c)} AS c_{c}" for c, _ in DELAY_REASONS],
+        *[f"{cause_minutes_sql(c, c)} AS m_{c}" for c, _ in DELAY_REASONS],
     )
-    aggs = [
-        F.count(F.lit(1)).alias("n_all"),
-        F.sum("dep0").alias("n_dep"),
-        F.sum("both0").alias("n_both"),
-        F.sum("arr0").alias("n_arr"),
-    ]
+    aggs = ["count(1) AS n_all", "sum(dep0) AS n_dep", "sum(both0) AS n_both", "sum(arr0) AS n_arr"]
     for col, _ in DELAY_REASONS:
-        aggs.append(F.sum(f"c_{col}").alias(f"c_{col}"))
-        aggs.append(F.sum(f"m_{col}").alias(f"m_{col}"))
-    aggs += [
-        F.min("flight_date").alias("first_date"),
-        F.max("flight_date").alias("last_date"),
-        F.grouping_id().alias("gid"),
-    ]
+        aggs += [f"sum(c_{col}) AS c_{col}", f"sum(m_{col}) AS m_{col}"]
+    aggs += ["min(flight_date) AS first_date", "max(flight_date) AS last_date", "grouping_id() AS gid"]
     sets = [list(s) for s in _SETS.values()] + [[]]
-    agg = per_row.groupingSets(sets, *_GROUP_COLS).agg(*aggs)
+    agg = per_row.groupingSets(sets, *_GROUP_COLS).agg(*[F.expr(a) for a in aggs])
 
-    empty = F.lit("")
-    entries = None
+    branches = []
     for metric, cols in _SETS.items():
-        k1 = F.col(cols[0])
-        k2 = F.col(cols[1]) if len(cols) > 1 else empty
-        branch = F.array(_entry(metric, k1, k2, F.col(_COUNT_OF[metric])))
-        cond = F.col("gid") == _grouping_id(cols)
-        entries = F.when(cond, branch) if entries is None else entries.when(cond, branch)
-    global_rows = []
-    for col, label in DELAY_REASONS:
-        global_rows.append(_entry(REASON_COUNT, F.lit(label), empty, F.coalesce(F.col(f"c_{col}"), F.lit(0))))
-    for col, label in DELAY_REASONS:
-        global_rows.append(_entry(REASON_MINUTES, F.lit(label), empty, F.coalesce(F.col(f"m_{col}"), F.lit(0))))
-    global_rows += [
-        _entry(BATCH, F.lit("rows"), empty, F.col("n_all")),
-        _entry(BATCH, F.lit("first_day"), empty, F.unix_date("first_date")),
-        _entry(BATCH, F.lit("last_day"), empty, F.unix_date("last_date")),
+        k2 = cols[1] if len(cols) > 1 else "''"
+        entry = _entry_sql(metric, cols[0], k2, _COUNT_OF[metric])
+        branches.append(f"WHEN gid = {_grouping_id(cols)} THEN array({entry})")
+    totals = [_entry_sql(REASON_COUNT, f"'{label}'", "''", f"coalesce(c_{col}, 0)") for col, label in DELAY_REASONS]
+    totals += [_entry_sql(REASON_MINUTES, f"'{label}'", "''", f"coalesce(m_{col}, 0)") for col, label in DELAY_REASONS]
+    totals += [
+        _entry_sql(BATCH, "'rows'", "''", "n_all"),
+        _entry_sql(BATCH, "'first_day'", "''", "unix_date(first_date)"),
+        _entry_sql(BATCH, "'last_day'", "''", "unix_date(last_date)"),
     ]
-    entries = entries.otherwise(F.array(*global_rows))
-    return agg.select(F.inline(entries)).where(
-        (F.col("n") > 0) | F.col("metric").isin(REASON_COUNT, REASON_MINUTES, BATCH)
+    entries = f"CASE {' '.join(branches)} ELSE array({', '.join(totals)}) END"
+    return agg.selectExpr(f"inline({entries})").where(
+        f"n > 0 OR metric IN ('{REASON_COUNT}', '{REASON_MINUTES}', '{BATCH}')"
     )
 
 
@@ -215,6 +186,6 @@ def reasons_from_counts(counts: DataFrame) -> DataFrame:
     aggs = []
     for col, label in DELAY_REASONS:
         for metric, prefix in ((REASON_COUNT, "c_"), (REASON_MINUTES, "m_")):
-            hit = (F.col("metric") == metric) & (F.col("k1") == label)
-            aggs.append(F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).cast("long").alias(prefix + col))
-    return counts.where(F.col("metric").isin(REASON_COUNT, REASON_MINUTES)).agg(*aggs)
+            hit = f"metric = '{metric}' AND k1 = '{label}'"
+            aggs.append(f"CAST(coalesce(sum(CASE WHEN {hit} THEN n END), 0) AS BIGINT) AS {prefix}{col}")
+    return counts.where(F.col("metric").isin(REASON_COUNT, REASON_MINUTES)).agg(*[F.expr(a) for a in aggs])

@@ -136,14 +136,14 @@ def run_batch(
                               airport_codes=airports_df.select("code"))
 
         new = tally(clean)
-        # Cumulative counts only: the batch rows describe one run each.
-        counts = new.where(F.col("metric") != BATCH)
+        # The new batch rows pass through the merge unchanged (the old ones are
+        # left out: they describe the previous run).  ``new`` is consumed once,
+        # so the input is scanned once.
         if previous is not None:
             old = store.read_snapshot(previous.run_id).where(F.col("metric") != BATCH)
-            merged = merge_counts(counts, old)
+            snapshot = merge_counts(new, old)
         else:
-            merged = merge_counts(counts)
-        snapshot = merged.unionByName(new.where(F.col("metric") == BATCH))
+            snapshot = merge_counts(new)
         store.write_snapshot(snapshot, run_id)
 
         state = store.read_snapshot(run_id)

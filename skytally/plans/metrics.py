@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import DELAY_REASONS, TOP_K
-from ..functions import half_up_percent
+from ..functions import half_up_percent_sql
 from ..operators import lookup_name, rank_all, reason_rows, top_k, top_k_per_group
 
 
@@ -96,9 +96,8 @@ def delay_reason_percent(totals: DataFrame) -> DataFrame:
     """M7: per cause, its share of all cause minutes in percent, two
     decimals rounded half up; 0.0 everywhere when there are no minutes.
     The five values need not add up to 100.  Output ``reason_id, reason, percent``."""
-    minute_cols = [F.col(f"m_{col}") for col, _ in DELAY_REASONS]
-    total = sum(minute_cols[1:], minute_cols[0])
-    shares = totals.select(*[
-        half_up_percent(F.col(f"m_{col}"), total).alias(f"p_{col}") for col, _ in DELAY_REASONS
+    total = " + ".join(f"m_{col}" for col, _ in DELAY_REASONS)
+    shares = totals.selectExpr(*[
+        f"{half_up_percent_sql(f'm_{col}', total)} AS p_{col}" for col, _ in DELAY_REASONS
     ])
-    return reason_rows(shares, "p_", "percent", value_type="double")
+    return reason_rows(shares, "p_", "percent", value_type="DOUBLE")

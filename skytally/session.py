@@ -9,10 +9,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def make_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "skytally") -> SparkSession:
+def make_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "skytally",
+                 extra: dict[str, str] | None = None) -> SparkSession:
     """Local session used by tests and bench (a cluster passes its own)."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
