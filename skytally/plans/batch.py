@@ -4,8 +4,8 @@ Cost model of a run, whatever the input size:
 
 * the flights input is scanned and parsed **once**: validation, the
   incremental cut, the airport filter and the counts of all seven
-  metrics happen in one job (``tally``, a GROUPING SETS aggregate whose
-  partial aggregation runs before the only shuffle of the input);
+  metrics happen in one job (``tally``, one aggregate whose partial
+  aggregation runs before the only shuffle of the input);
 * that job merges the new counts with the committed state (a union and
   one more aggregate over group-sized data, not row-sized) and writes the
   new snapshot; the lineage to the input ends there;
