@@ -30,7 +30,7 @@ _DEP0 = is_on_time_sql("departure_delay")
 _ARR0 = is_on_time_sql("arrival_delay")
 _BOTH0 = f"({_DEP0} AND {_ARR0})"
 
-# metric -> (row condition as SQL, k1 column, k2 column or None)
+# metric -> (row condition as SQL or None for all rows, k1 column, k2 column or None)
 _PLAIN_COUNTS = {
     DEPARTURES_BY_ORIGIN: (None, "origin_airport", None),
     ONTIME_BY_AIRLINE: (_BOTH0, "airline", None),
@@ -90,14 +90,6 @@ def reason_rows(one_row: DataFrame, prefix: str, value_name: str, value_type: st
 # ---------------------------------------------------------------------------
 
 _TOTALS = "__totals__"
-# metric -> (row condition as SQL or None, k1 column, k2 column or None)
-_EMITTED = {
-    DEPARTURES_BY_ORIGIN: (None, "origin_airport", None),
-    ONTIME_BY_AIRLINE: (_BOTH0, "airline", None),
-    ONTIME_BY_ORIGIN_AIRLINE: (_DEP0, "origin_airport", "airline"),
-    ONTIME_BY_ORIGIN_DEST: (_DEP0, "origin_airport", "destination_airport"),
-    ONTIME_ARRIVALS_BY_WEEKDAY: (_ARR0, "week_day", None),
-}
 
 
 def _entry_sql(metric: str, k1: str, k2: str, n: str) -> str:
@@ -139,7 +131,7 @@ def tally(clean: DataFrame) -> DataFrame:
     totals += [(f"c_{c}", f"CAST({cause_present_sql(c)} AS BIGINT)") for c, _ in DELAY_REASONS]
     totals += [(f"m_{c}", f"CAST({cause_minutes_sql(c, c)} AS BIGINT)") for c, _ in DELAY_REASONS]
     totals += [("d", "flight_date")]
-    rows = [emitted(m, cond, k1, k2) for m, (cond, k1, k2) in _EMITTED.items()] + [_struct_sql(totals)]
+    rows = [emitted(m, cond, k1, k2) for m, (cond, k1, k2) in _PLAIN_COUNTS.items()] + [_struct_sql(totals)]
     per_flight = clean.selectExpr(f"inline(array({', '.join(rows)}))").where("metric IS NOT NULL")
 
     aggs = ["count(1) AS n"]
