@@ -150,7 +150,7 @@ def test_unknown_metric_name_is_rejected(spark, files):
     store = StateStore(spark, files["base"])
     assert store.committed_metric("top_airports").count() == 3
     with pytest.raises(KeyError):
-        store.committed_metric("topTenAirportz")
+        store.committed_metric("busiest_everything")
     with pytest.raises(KeyError):
         store.write_metric(store.committed_metric("top_airports"), "x", "nonsense")
 
