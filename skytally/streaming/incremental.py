@@ -16,6 +16,8 @@ replay ends as ``no_new_data``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,7 +47,9 @@ def start_incremental(
     the outcome of every micro-batch (useful for tests and monitoring).
     """
     flights = parse_flight_lines(stream_lines(spark, input_dir, max_files_per_trigger))
-    location = checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/stream-{abs(hash(base_path))}"
+    # Stable per base path (Python's hash() of a string changes between processes).
+    key = hashlib.sha1(base_path.encode("utf-8")).hexdigest()[:16]
+    location = checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/stream-{key}"
 
     def each(batch: DataFrame, batch_id: int) -> None:
         outcome = run_batch(batch.sparkSession, base_path, batch, airlines, airports, options)
