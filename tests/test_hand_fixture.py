@@ -179,3 +179,15 @@ def test_text_export_and_cli(spark, tmp_path):
         "AIR_SYSTEM_DELAY,38.89", "SECURITY_DELAY,0.0", "AIRLINE_DELAY,13.33",
         "LATE_AIRCRAFT_DELAY,36.67", "WEATHER_DELAY,11.11"]
     assert lines["weekdays_by_ontime"] == ["6,2", "4,1", "5,1", "7,1"]
+
+
+def test_windows_line_endings(spark, tmp_path):
+    crlf = {name: text.replace("\n", "\r\n") for name, text in
+            {"airports.csv": AIRPORTS, "airlines.csv": AIRLINES, "flights.csv": HEADER + BATCH1}.items()}
+    for name, text in crlf.items():
+        (tmp_path / name).write_bytes(text.encode())
+    r = run_batch(spark, str(tmp_path / "state"), str(tmp_path / "flights.csv"),
+                  str(tmp_path / "airlines.csv"), str(tmp_path / "airports.csv"))
+    assert r.flights == 8
+    assert reasons(r.metrics["delay_reason_minutes"], "minutes") == [30, 0, 12, 8, 0]
+    assert ranked(r.metrics["top_airports"], "airport", "flights")[0] == ("Kennedy", 3)
