@@ -29,3 +29,25 @@ def test_bounded_broadcast_respects_the_bound(spark):
         assert "BroadcastHashJoin" not in plan(bounded_broadcast(big, max_rows=10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_run_without_broadcast_gives_same_results(spark, tmp_path):
+    """Dictionaries over the size bound are joined without a broadcast hint."""
+    from skytally.operators.joins import MAX_BROADCAST_ROWS_CONF
+    from skytally.plans.batch import run_batch
+    from test_hand_fixture import AIRLINES, AIRPORTS, BATCH1, HEADER
+
+    d = write_files(tmp_path / "in", {"airports.csv": AIRPORTS, "airlines.csv": AIRLINES,
+                                      "flights.csv": HEADER + BATCH1})
+    args = (f"{d}/flights.csv", f"{d}/airlines.csv", f"{d}/airports.csv")
+    with_bc = run_batch(spark, str(tmp_path / "a"), *args)
+    expected = {k: sorted(map(tuple, v.collect())) for k, v in with_bc.metrics.items()}
+    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        without = run_batch(spark, str(tmp_path / "b"), *args)
+        got = {k: sorted(map(tuple, v.collect())) for k, v in without.metrics.items()}
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == expected
