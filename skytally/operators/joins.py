@@ -9,6 +9,8 @@ without a hint and Catalyst/AQE choose a shuffle join instead.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= bound else df
 
 
+def bounded_broadcasts(*dfs: DataFrame, max_rows: int | None = None) -> list[DataFrame]:
+    """``bounded_broadcast`` for several frames, checked together in one job."""
+    if not dfs:
+        return []
+    bound = broadcast_limit(dfs[0]) if max_rows is None else max_rows
+    probes = [df.limit(bound + 1).select(F.lit(i).alias("_frame")) for i, df in enumerate(dfs)]
+    union = reduce(lambda a, b: a.unionAll(b), probes)
+    sizes = {r["_frame"]: r["n"] for r in union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if sizes.get(i, 0) <= bound else df for i, df in enumerate(dfs)]
+
+
 def keep_known(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``column`` is a code of the dictionary (left semi join)."""
     keys = codes.select(F.col("code").alias(column))

@@ -34,7 +34,7 @@ from ..constants import (
     ONTIME_BY_ORIGIN_DEST,
     TOP_K,
 )
-from ..operators import bounded_broadcast, clean_flights, merge_counts, reasons_from_counts, slice_metric, tally
+from ..operators import bounded_broadcasts, clean_flights, merge_counts, reasons_from_counts, slice_metric, tally
 from ..sinks import write_metric_lines
 from ..sources import read_dictionary_csv, read_flights_csv
 from ..state import StateStore
@@ -130,8 +130,8 @@ def run_batch(
         mark = previous.last_date if previous else NOTHING_PROCESSED
         seq, run_id = store.new_run(previous)
 
-        airports_df = bounded_broadcast(_as_dictionary(spark, airports))
-        airlines_df = bounded_broadcast(_as_dictionary(spark, airlines))
+        airports_df, airlines_df = bounded_broadcasts(
+            _as_dictionary(spark, airports), _as_dictionary(spark, airlines))
         clean = clean_flights(_as_flights(spark, flights), airports_df, mark,
                               airport_codes=airports_df.select("code"))
 

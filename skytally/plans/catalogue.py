@@ -18,7 +18,7 @@ from .. import constants as C
 from ..functions import date_lit
 from ..operators import (
     batch_date_range,
-    bounded_broadcast,
+    bounded_broadcasts,
     clean_flights,
     merge_counts,
     metric_counts,
@@ -54,8 +54,8 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self.flights = flights_from_tables(spark, sf_dir)
-        self.airports = bounded_broadcast(airports_from_tables(spark, sf_dir))
-        self.airlines = bounded_broadcast(airlines_from_tables(spark, sf_dir))
+        self.airports, self.airlines = bounded_broadcasts(
+            airports_from_tables(spark, sf_dir), airlines_from_tables(spark, sf_dir))
 
     def clean(self, after: _dt.date | None = None) -> DataFrame:
         return clean_flights(self.flights, self.airports, after, airport_codes=self.airports.select("code"))

@@ -49,28 +49,25 @@ def flights_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    qty = F.col("l_quantity").cast("int")
-    no_line = F.col("l_linenumber") == 7
-    no_cause = F.col("l_returnflag") != "R"
-    partkey, suppkey, orderkey = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
-
-    def unless(cond: Column, value: Column) -> Column:
-        return F.when(cond, F.lit("")).otherwise(_text(value))
-
-    return j.select(
-        F.col("l_shipdate").cast("date").alias("flight_date"),
-        _text(F.weekday("l_shipdate") + 1).alias("week_day"),
-        _text(suppkey).alias("airline"),
-        _text(F.col("c_nationkey")).alias("origin_airport"),
-        _text(F.col("s_nationkey")).alias("destination_airport"),
-        unless(no_line, qty % 4 - 1).alias("departure_delay"),
-        unless(no_line, orderkey % 3 - 1).alias("arrival_delay"),
-        unless(no_cause, partkey % 4 * 5).alias("air_system_delay"),
-        unless(no_cause, F.when(partkey % 10 == 0, 7).otherwise(0)).alias("security_delay"),
-        unless(no_cause, suppkey % 3 * 4).alias("airline_delay"),
-        unless(no_cause, qty % 6).alias("late_aircraft_delay"),
-        unless(no_cause | (F.col("l_linestatus") == "O"), partkey % 2 * 9).alias("weather_delay"),
-        F.lit(None).cast("string").alias("_problem"),
+    # The flight fields as SQL over the joined columns (one expression each).
+    no_cause = "l_returnflag <> 'R'"
+    return j.selectExpr(
+        "CAST(l_shipdate AS DATE) AS flight_date",
+        "CAST(weekday(l_shipdate) + 1 AS STRING) AS week_day",
+        "CAST(l_suppkey AS STRING) AS airline",
+        "CAST(c_nationkey AS STRING) AS origin_airport",
+        "CAST(s_nationkey AS STRING) AS destination_airport",
+        "CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(CAST(l_quantity AS INT) % 4 - 1 AS STRING) END"
+        " AS departure_delay",
+        "CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(l_orderkey % 3 - 1 AS STRING) END AS arrival_delay",
+        f"CASE WHEN {no_cause} THEN '' ELSE CAST(l_partkey % 4 * 5 AS STRING) END AS air_system_delay",
+        f"CASE WHEN {no_cause} THEN '' ELSE CAST(CASE WHEN l_partkey % 10 = 0 THEN 7 ELSE 0 END AS STRING) END"
+        " AS security_delay",
+        f"CASE WHEN {no_cause} THEN '' ELSE CAST(l_suppkey % 3 * 4 AS STRING) END AS airline_delay",
+        f"CASE WHEN {no_cause} THEN '' ELSE CAST(CAST(l_quantity AS INT) % 6 AS STRING) END AS late_aircraft_delay",
+        f"CASE WHEN {no_cause} OR l_linestatus = 'O' THEN '' ELSE CAST(l_partkey % 2 * 9 AS STRING) END"
+        " AS weather_delay",
+        "CAST(NULL AS STRING) AS _problem",
     )
 
 
