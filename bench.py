@@ -80,6 +80,28 @@ def _profile(log_dir: str, windows: dict[str, tuple[int, int]]) -> dict:
     return out
 
 
+def _scaling(spark, sf_dir: str) -> dict:
+    """The one input job of a run (tally merged into state) over the flights
+    view unioned with itself 1x and 10x: seconds and input rows per second."""
+    from functools import reduce
+
+    from skytally.operators import clean_flights, merge_counts, tally
+    from skytally.plans.catalogue import Inputs
+
+    i = Inputs(spark, sf_dir)
+    rows = i.flights.count()
+    out = {}
+    for k in (1, 10):
+        flights = reduce(lambda a, b: a.unionByName(b), [i.flights] * k)
+        job = merge_counts(tally(clean_flights(flights, i.airports, airport_codes=i.airports.select("code"))))
+        job.write.format("noop").mode("overwrite").save()
+        t0 = time.perf_counter()
+        job.write.format("noop").mode("overwrite").save()
+        sec = time.perf_counter() - t0
+        out[f"x{k}"] = {"input_rows": rows * k, "sec": round(sec, 3), "rows_per_sec": int(rows * k / sec)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -118,8 +140,10 @@ def main() -> None:
         runs = [run(name) for _ in range(repeat)]
         times[name] = round(statistics.median(runs), 3)
     windows = {}
+    scaling = {}
     if not only:
         times["run_batch_full"] = round(statistics.median([full_run() for _ in range(repeat)]), 3)
+        scaling = _scaling(spark, sf_dir)
     spark.stop()
 
     if not only:
@@ -143,6 +167,8 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
     }
+    if scaling:
+        out["scaling"] = scaling
     if windows:
         try:
             out["profile"] = _profile(log_dir, windows)
