@@ -291,7 +291,8 @@ def q_publish_ignores_uncommitted(spark, sf_dir):
 def q_run_log(spark, sf_dir):
     store, _ = _runs(spark, sf_dir, None, repeat_second=True)
     log = store.run_log().join(store.commits().select("run_id", "seq"), "run_id", "left")
-    return log.select("seq", "status", "detail")
+    # seq 0: the run was not committed (no new data)
+    return log.select(F.coalesce("seq", F.lit(0).cast("long")).alias("seq"), "status", "detail")
 
 
 def q_full_run_metrics(spark, sf_dir):

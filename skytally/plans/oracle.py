@@ -143,7 +143,7 @@ def _runs_log() -> str:
         rows.append(f"SELECT CAST({seq} AS BIGINT) AS seq, 'collected' AS status, "
                     f"'flights from ' || strftime(f, '%Y-%m-%d') || ' to ' || strftime(l, '%Y-%m-%d') AS detail FROM {b}")
         rows.append(f"SELECT CAST({seq} AS BIGINT), 'processed', CAST(n AS VARCHAR) || ' flights' FROM {b}")
-    rows.append("SELECT CAST(NULL AS BIGINT), 'no_new_data', 'no flights after ' || strftime(l, '%Y-%m-%d') FROM b2")
+    rows.append("SELECT CAST(0 AS BIGINT), 'no_new_data', 'no flights after ' || strftime(l, '%Y-%m-%d') FROM b2")
     return _with(b1, b2, body="\nUNION ALL ".join(rows))
 
 
