@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from .. import constants as C
 from ..functions import date_lit
@@ -61,6 +62,20 @@ class Inputs:
         return clean_flights(self.flights, self.airports, after, airport_codes=self.airports.select("code"))
 
 
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """DATE columns rendered as ISO text (``yyyy-MM-dd``).
+
+    Only for the query outputs checked against SQL on another engine: a DATE
+    comes back as a date object from one side and as a midnight timestamp
+    from the other, while the text is the same everywhere.  The library
+    itself returns real DATE columns.
+    """
+    return df.select(*[
+        F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, DateType) else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 def _no_batch(state: DataFrame) -> DataFrame:
     return state.where(F.col("metric") != C.BATCH)
 
@@ -68,7 +83,7 @@ def _no_batch(state: DataFrame) -> DataFrame:
 # -- cleaning, filters, projections --------------------------------------------
 
 def q_clean_flights(spark, sf_dir):
-    return Inputs(spark, sf_dir).clean()
+    return _dates_as_text(Inputs(spark, sf_dir).clean())
 
 
 def q_ontime_departures(spark, sf_dir):
@@ -76,11 +91,11 @@ def q_ontime_departures(spark, sf_dir):
 
 
 def q_incremental_filter(spark, sf_dir):
-    return Inputs(spark, sf_dir).clean(MARK)
+    return _dates_as_text(Inputs(spark, sf_dir).clean(MARK))
 
 
 def q_batch_date_range(spark, sf_dir):
-    return batch_date_range(Inputs(spark, sf_dir).clean(MARK))
+    return _dates_as_text(batch_date_range(Inputs(spark, sf_dir).clean(MARK)))
 
 
 # -- plain counts ----------------------------------------------------------------
@@ -221,7 +236,8 @@ def q_csv_scan_roundtrip(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     path = scratch_dir(spark, "flights-csv")
     write_text_with_header(flight_lines(i.flights), path, header="year,month,day,rest")
-    return clean_flights(read_flights_csv(spark, path), i.airports, airport_codes=i.airports.select("code"))
+    clean = clean_flights(read_flights_csv(spark, path), i.airports, airport_codes=i.airports.select("code"))
+    return _dates_as_text(clean)
 
 
 def q_state_roundtrip(spark, sf_dir):
@@ -267,7 +283,7 @@ def q_incremental_late_rows_ignored(spark, sf_dir):
 
 def q_incremental_hwm(spark, sf_dir):
     store, _ = _runs(spark, sf_dir, None)
-    return store.commits().select("seq", "first_date", "last_date", "flights")
+    return _dates_as_text(store.commits().select("seq", "first_date", "last_date", "flights"))
 
 
 def q_incremental_no_new_data(spark, sf_dir):

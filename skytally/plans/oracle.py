@@ -37,6 +37,10 @@ clean AS (
     AND destination_airport IN (SELECT code FROM airports_d))"""
 
 
+# Dates leave the cross-engine checks as ISO text (see catalogue._dates_as_text).
+_AS_TEXT = "* REPLACE (CAST(flight_date AS VARCHAR) AS flight_date)"
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join([_BASE, *ctes]) + "\n" + body
 
@@ -193,13 +197,13 @@ def _long(where: str = "TRUE") -> str:
 
 
 ORACLE: dict[str, str] = {
-    "clean_flights": _with(body="SELECT * FROM clean"),
+    "clean_flights": _with(body=f"SELECT {_AS_TEXT} FROM clean"),
     "ontime_departures": _with(
         body="SELECT airline, origin_airport, destination_airport FROM clean WHERE departure_delay = '0'"),
-    "incremental_filter": _with(body=f"SELECT * FROM clean WHERE flight_date > {MARK}"),
+    "incremental_filter": _with(body=f"SELECT {_AS_TEXT} FROM clean WHERE flight_date > {MARK}"),
     "batch_date_range": _with(
-        body=(f"SELECT min(flight_date) AS first_date, max(flight_date) AS last_date, count(*) AS flights "
-              f"FROM clean WHERE flight_date > {MARK}")),
+        body=(f"SELECT CAST(min(flight_date) AS VARCHAR) AS first_date, CAST(max(flight_date) AS VARCHAR) "
+              f"AS last_date, count(*) AS flights FROM clean WHERE flight_date > {MARK}")),
     "departures_by_origin": _with(
         body="SELECT origin_airport, count(*) AS flights FROM clean GROUP BY origin_airport"),
     "ontime_count_by_airline": _with(
@@ -238,7 +242,7 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(n_nationkey AS VARCHAR) AS code, "
         "CASE WHEN n_regionkey = 0 THEN lower(n_name) ELSE n_name END AS name "
         "FROM nation WHERE n_regionkey <> 4"),
-    "csv_scan_roundtrip": _with(body="SELECT * FROM clean"),
+    "csv_scan_roundtrip": _with(body=f"SELECT {_AS_TEXT} FROM clean"),
     "state_roundtrip": _state_with_batch(),
     "metrics_sink_roundtrip": _query(_top_per_origin(
         "airline", "airline", "airlines_d", False,
@@ -246,10 +250,11 @@ ORACLE: dict[str, str] = {
     "incremental_two_batches": _long(),
     "incremental_late_rows_ignored": _long(),
     "incremental_hwm": _with(body=(
-        f"SELECT CAST(1 AS BIGINT) AS seq, min(flight_date) AS first_date, max(flight_date) AS last_date, "
-        f"count(*) AS flights FROM clean WHERE flight_date <= {MARK}\n"
-        f"UNION ALL SELECT CAST(2 AS BIGINT), min(flight_date), max(flight_date), count(*) "
-        f"FROM clean WHERE flight_date > {MARK}")),
+        f"SELECT CAST(1 AS BIGINT) AS seq, CAST(min(flight_date) AS VARCHAR) AS first_date, "
+        f"CAST(max(flight_date) AS VARCHAR) AS last_date, count(*) AS flights "
+        f"FROM clean WHERE flight_date <= {MARK}\n"
+        f"UNION ALL SELECT CAST(2 AS BIGINT), CAST(min(flight_date) AS VARCHAR), "
+        f"CAST(max(flight_date) AS VARCHAR), count(*) FROM clean WHERE flight_date > {MARK}")),
     "incremental_no_new_data": _long(),
     "publish_ignores_uncommitted": _long(f"flight_date <= {MARK}"),
     "run_log": _runs_log(),
