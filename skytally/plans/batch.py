@@ -17,6 +17,7 @@ Cost model of a run, whatever the input size:
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -74,7 +75,7 @@ class BatchResult:
     first_date: _dt.date | None
     last_date: _dt.date | None
     flights: int
-    metrics: dict[str, DataFrame] = field(default_factory=dict)
+    metrics: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def metrics_from_state(state: DataFrame, airports: DataFrame, airlines: DataFrame,
@@ -187,5 +188,27 @@ def run_batch(
         raise
 
 
-def _published(store: StateStore, run_id: str) -> dict[str, DataFrame]:
-    return {name: store.spark.read.parquet(store.metrics_path(run_id, name)) for name in METRIC_NAMES}
+class _Published(Mapping):
+    """The published metric tables of a run, each read when first asked for."""
+
+    def __init__(self, store: StateStore, run_id: str):
+        self._store = store
+        self._run_id = run_id
+        self._read: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in METRIC_NAMES:
+            raise KeyError(name)
+        if name not in self._read:
+            self._read[name] = self._store.spark.read.parquet(self._store.metrics_path(self._run_id, name))
+        return self._read[name]
+
+    def __iter__(self):
+        return iter(METRIC_NAMES)
+
+    def __len__(self) -> int:
+        return len(METRIC_NAMES)
+
+
+def _published(store: StateStore, run_id: str) -> Mapping[str, DataFrame]:
+    return _Published(store, run_id)
