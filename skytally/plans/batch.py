@@ -17,7 +17,7 @@ Cost model of a run, whatever the input size:
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -78,27 +78,33 @@ class BatchResult:
     metrics: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
-def metrics_from_state(state: DataFrame, airports: DataFrame, airlines: DataFrame,
-                       options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
-    """All metric tables from a long state/count frame."""
+def metric_builders(state: DataFrame, airports: DataFrame, airlines: DataFrame,
+                    options: RunOptions = RunOptions()) -> dict[str, Callable[[], DataFrame]]:
+    """One function per metric table that builds it from a long state/count frame."""
     totals = reasons_from_counts(state)
     o = options
     return {
-        "top_airports": M.top_airports(slice_metric(state, DEPARTURES_BY_ORIGIN), airports,
-                                       o.airports_ascending, o.k),
-        "top_airlines": M.top_airlines(slice_metric(state, ONTIME_BY_AIRLINE), airlines,
-                                       o.airlines_ascending, o.k),
-        "top_carriers_per_origin": M.top_carriers_per_origin(
+        "top_airports": lambda: M.top_airports(
+            slice_metric(state, DEPARTURES_BY_ORIGIN), airports, o.airports_ascending, o.k),
+        "top_airlines": lambda: M.top_airlines(
+            slice_metric(state, ONTIME_BY_AIRLINE), airlines, o.airlines_ascending, o.k),
+        "top_carriers_per_origin": lambda: M.top_carriers_per_origin(
             slice_metric(state, ONTIME_BY_ORIGIN_AIRLINE), airports, airlines, o.carriers_ascending, o.k),
-        "top_destinations_per_origin": M.top_destinations_per_origin(
+        "top_destinations_per_origin": lambda: M.top_destinations_per_origin(
             slice_metric(state, ONTIME_BY_ORIGIN_DEST), airports, o.destinations_ascending, o.k),
-        "weekdays_by_ontime": M.weekdays_by_ontime(slice_metric(state, ONTIME_ARRIVALS_BY_WEEKDAY)),
-        "delay_reason_counts": M.delay_reason_counts(totals),
-        "delay_reason_percent": M.delay_reason_percent(totals),
-        "delay_reason_minutes": M.delay_reason_minutes(totals),
+        "weekdays_by_ontime": lambda: M.weekdays_by_ontime(slice_metric(state, ONTIME_ARRIVALS_BY_WEEKDAY)),
+        "delay_reason_counts": lambda: M.delay_reason_counts(totals),
+        "delay_reason_percent": lambda: M.delay_reason_percent(totals),
+        "delay_reason_minutes": lambda: M.delay_reason_minutes(totals),
     }
 
 
+def metrics_from_state(state: DataFrame, airports: DataFrame, airlines: DataFrame,
+                       options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
+    """All metric tables from a long state/count frame."""
+    return {name: build() for name, build in metric_builders(state, airports, airlines, options).items()}
+
+
 def _as_flights(spark: SparkSession, flights: DataFrame | str | list[str]) -> DataFrame:
     return read_flights_csv(spark, flights) if isinstance(flights, (str, list)) else flights
 
@@ -159,10 +165,13 @@ def run_batch(
         last = epoch + _dt.timedelta(days=int(batch["last_day"]))
 
         counts_state = state.where(F.col("metric") != BATCH)
-        tables = metrics_from_state(counts_state, airports_df, airlines_df, options)
-        # Independent small jobs: submitted together so they share the cluster.
+        tables = metric_builders(counts_state, airports_df, airlines_df, options)
+        # Independent small jobs, built and submitted together so they share the
+        # cluster (and the driver-side planning overlaps).
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            for f in [pool.submit(store.write_metric, df, run_id, name) for name, df in tables.items()]:
+            jobs = [pool.submit(lambda n=name, b=build: store.write_metric(b(), run_id, n))
+                    for name, build in tables.items()]
+            for f in jobs:
                 f.result()
         if options.export_lines:
             with ThreadPoolExecutor(max_workers=len(tables)) as pool:

@@ -73,14 +73,18 @@ class StateStore:
         return self._p("metrics_text", f"run={run_id}", name)
 
     # -- reads ---------------------------------------------------------------
-    def _read(self, path: str, schema: str) -> DataFrame:
+    def _read_or_none(self, path: str, schema: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as err:
             if _missing(err):
-                return self.spark.createDataFrame([], schema)
+                return None
             raise
 
+    def _read(self, path: str, schema: str) -> DataFrame:
+        df = self._read_or_none(path, schema)
+        return df if df is not None else _empty(self.spark, schema)
+
     def commits(self) -> DataFrame:
         return self._read(self._p("commits"), COMMIT_SCHEMA)
 
@@ -89,7 +93,10 @@ class StateStore:
 
     def latest_commit(self) -> Commit | None:
         """The newest committed run (one row brought to the driver)."""
-        rows = self.commits().orderBy(F.col("seq").desc()).limit(1).collect()
+        commits = self._read_or_none(self._p("commits"), COMMIT_SCHEMA)
+        if commits is None:
+            return None
+        rows = commits.orderBy(F.col("seq").desc()).limit(1).collect()
         if not rows:
             return None
         r = rows[0]
@@ -104,7 +111,7 @@ class StateStore:
         """State of the newest committed run; empty before the first commit."""
         c = self.latest_commit()
         if c is None:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+            return _empty(self.spark, STATE_SCHEMA)
         return self.read_snapshot(c.run_id)
 
     def committed_metric(self, name: str) -> DataFrame:
@@ -151,6 +158,12 @@ class StateStore:
         self._append_rows([[run_id, status, detail, now] for status, detail in entries], LOG_SCHEMA, "log")
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame of ``schema`` built JVM-side (no Python data path)."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+
+
 def _known_metric(name: str) -> None:
     if name not in METRIC_NAMES:
         raise KeyError(f"unknown metric {name!r}; known: {', '.join(METRIC_NAMES)}")
