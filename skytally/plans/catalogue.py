@@ -216,6 +216,21 @@ def q_dictionary_last_wins(spark, sf_dir):
     return read_dictionary_csv(spark, path)
 
 
+def q_dictionary_last_wins_airlines(spark, sf_dir):
+    """Airline dictionary (grows with the tables) written as text in which
+    every seventh supplier appears a second time, later, with a new name;
+    read back."""
+    supplier = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 3)
+    first = supplier.select(F.lit(0).alias("seq"), "s_suppkey", F.col("s_name").alias("name"))
+    again = supplier.where(F.col("s_suppkey") % 7 == 0).select(
+        F.lit(1).alias("seq"), "s_suppkey", F.lower("s_name").alias("name"))
+    lines = first.unionByName(again).orderBy("seq", "s_suppkey").select(
+        F.concat_ws(",", F.col("s_suppkey").cast("string"), "name").alias("line"))
+    path = scratch_dir(spark, "airlines-csv")
+    write_text_with_header(lines, path, header="code,name")
+    return read_dictionary_csv(spark, path)
+
+
 def flight_lines(flights: DataFrame) -> DataFrame:
     """Flights as 31-field comma-separated lines (month and day unpadded,
     unused positions empty) - the raw input layout."""
@@ -376,6 +391,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_counts": q_merge_counts,
     "merge_reason_totals": q_merge_reason_totals,
     "dictionary_last_wins": q_dictionary_last_wins,
+    "dictionary_last_wins_airlines": q_dictionary_last_wins_airlines,
     "csv_scan_roundtrip": q_csv_scan_roundtrip,
     "state_roundtrip": q_state_roundtrip,
     "metrics_sink_roundtrip": q_metrics_sink_roundtrip,

@@ -242,6 +242,10 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(n_nationkey AS VARCHAR) AS code, "
         "CASE WHEN n_regionkey = 0 THEN lower(n_name) ELSE n_name END AS name "
         "FROM nation WHERE n_regionkey <> 4"),
+    "dictionary_last_wins_airlines": (
+        "SELECT CAST(s_suppkey AS VARCHAR) AS code, "
+        "CASE WHEN s_suppkey % 7 = 0 THEN lower(s_name) ELSE s_name END AS name "
+        "FROM supplier WHERE s_suppkey % 10 <> 3"),
     "csv_scan_roundtrip": _with(body=f"SELECT {_AS_TEXT} FROM clean"),
     "state_roundtrip": _state_with_batch(),
     "metrics_sink_roundtrip": _query(_top_per_origin(

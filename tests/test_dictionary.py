@@ -51,3 +51,12 @@ def test_run_without_broadcast_gives_same_results(spark, tmp_path):
         spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == expected
+
+
+def test_last_wins_across_files(spark, tmp_path):
+    d = write_files(tmp_path, {
+        "part-0.csv": "CODE,NAME\nJFK,Kennedy\nLAX,Los Angeles\n",
+        "part-1.csv": "CODE,NAME\nJFK,JFK International\nSFO,San Francisco\n",
+    })
+    got = {r.code: r.name for r in read_dictionary_csv(spark, d).collect()}
+    assert got == {"JFK": "JFK International", "LAX": "Los Angeles", "SFO": "San Francisco"}
