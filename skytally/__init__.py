@@ -1,5 +1,16 @@
 """skytally: cumulative on-time flight metrics as Spark DataFrame jobs."""
 
+from .plans.batch import BatchResult, RunOptions, run_batch
 from .session import checkpoint_root, make_session
+from .state import StateStore
+from .streaming import start_incremental
 
-__all__ = ["checkpoint_root", "make_session"]
+__all__ = [
+    "BatchResult",
+    "RunOptions",
+    "StateStore",
+    "checkpoint_root",
+    "make_session",
+    "run_batch",
+    "start_incremental",
+]
