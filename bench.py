@@ -10,7 +10,7 @@ transfer); the time reported per query is the median of
 ``$BENCH_REPEAT`` (default 3) warm runs; ``value`` is their sum.
 ``run_batch_full`` is one complete incremental run (all seven metrics,
 fresh state, commit).  ``profile`` is read from Spark's event log (written
-to a fresh scratch folder by a second session, so the log does not slow the
+to a fresh folder below the checkpoint root by a second session, so the log does not slow the
 timed runs): jobs, stages, input records read and shuffle bytes of one full
 run, next to the records read by one plain scan of the flights view.
 """
@@ -23,7 +23,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -107,7 +106,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    log_dir = tempfile.mkdtemp(prefix="skytally-eventlog-")
 
     from skytally import make_session
     from skytally.plans.batch import run_batch
@@ -121,6 +119,9 @@ def main() -> None:
         return s
 
     spark = session()
+    # event log of the profiling session: a fresh folder below the shared checkpoint root
+    log_dir = scratch_dir(spark, "eventlog")
+    os.makedirs(log_dir, exist_ok=True)
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
