@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     BATCH,
     DEPARTURES_BY_ORIGIN,
+    FLIGHT_COLUMNS,
     METRIC_NAMES,
     NOTHING_PROCESSED,
     ONTIME_ARRIVALS_BY_WEEKDAY,
@@ -105,12 +106,26 @@ def metrics_from_state(state: DataFrame, airports: DataFrame, airlines: DataFram
     return {name: build() for name, build in metric_builders(state, airports, airlines, options).items()}
 
 
+def _require(df: DataFrame, columns: list[str], what: str) -> None:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} lacks column(s) {', '.join(missing)}; has {', '.join(df.columns)}")
+
+
 def _as_flights(spark: SparkSession, flights: DataFrame | str | list[str]) -> DataFrame:
-    return read_flights_csv(spark, flights) if isinstance(flights, (str, list)) else flights
+    if isinstance(flights, (str, list)):
+        return read_flights_csv(spark, flights)
+    _require(flights, FLIGHT_COLUMNS, "flights")
+    if "_problem" not in flights.columns:  # a typed source has no malformed rows to report
+        flights = flights.withColumn("_problem", F.lit(None).cast("string"))
+    return flights
 
 
-def _as_dictionary(spark: SparkSession, d: DataFrame | str | list[str]) -> DataFrame:
-    return read_dictionary_csv(spark, d) if isinstance(d, (str, list)) else d
+def _as_dictionary(spark: SparkSession, d: DataFrame | str | list[str], what: str) -> DataFrame:
+    if isinstance(d, (str, list)):
+        return read_dictionary_csv(spark, d)
+    _require(d, ["code", "name"], what)
+    return d.select(F.col("code").cast("string"), F.col("name").cast("string"))
 
 
 def run_batch(
@@ -123,9 +138,10 @@ def run_batch(
 ) -> BatchResult:
     """Process the flights newer than the last committed run.
 
-    ``flights`` is a flights CSV path (or a frame of the 12 flight
-    columns plus ``_problem``); ``airlines``/``airports`` are dictionary
-    CSV paths or ``(code, name)`` frames with unique codes.  On error the
+    ``flights`` is a flights CSV path or a frame of the 12 flight columns
+    (``flight_date`` DATE, the rest strings, '' for missing; optionally
+    ``_problem`` from the text parser); ``airlines``/``airports`` are
+    dictionary CSV paths or ``(code, name)`` frames with unique codes.  On error the
     run is logged as ``error`` and the exception re-raised; nothing is
     published.  With no new rows the status is ``no_new_data`` and nothing
     changes.
@@ -138,7 +154,7 @@ def run_batch(
         seq, run_id = store.new_run(previous)
 
         airports_df, airlines_df = bounded_broadcasts(
-            _as_dictionary(spark, airports), _as_dictionary(spark, airlines))
+            _as_dictionary(spark, airports, "airports"), _as_dictionary(spark, airlines, "airlines"))
         clean = clean_flights(_as_flights(spark, flights), airports_df, mark,
                               airport_codes=airports_df.select("code"))
 

@@ -57,3 +57,12 @@ def test_empty_first_batch_is_no_new_data(spark, tmp_path):
                   i.airlines, i.airports)
     assert r.status == "no_new_data"
     assert StateStore(spark, str(tmp_path / "s")).latest_commit() is None
+
+
+def test_typed_flights_frame_without_problem_column(spark, tmp_path):
+    i = Inputs(spark, SF_SMALL)
+    typed = i.flights.drop("_problem")
+    r = run_batch(spark, str(tmp_path / "s"), typed, i.airlines, i.airports)
+    assert r.status == "processed" and r.flights == i.clean().count()
+    with pytest.raises(ValueError, match="lacks column"):
+        run_batch(spark, str(tmp_path / "t"), typed.drop("airline"), i.airlines, i.airports)
