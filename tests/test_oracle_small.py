@@ -52,3 +52,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["origin_code", "origin", "rank", "airline_code", "airline", "ontime_departures"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["dictionary_last_wins_airlines", "metrics_sink_roundtrip",
+                                  "incremental_two_batches", "top_carriers_per_origin_desc"])
+def test_query_matches_oracle_with_many_partitions_and_no_aqe(spark, duck, name):
+    """Results must not depend on partitioning: 32 shuffle partitions, AQE off
+    (many part files for the written dictionaries, metrics and state)."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
