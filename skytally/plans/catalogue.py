@@ -220,6 +220,8 @@ def q_dictionary_last_wins_airlines(spark, sf_dir):
     """Airline dictionary (grows with the tables) written as text in which
     every seventh supplier appears a second time, later, with a new name;
     read back."""
+    # All airlines of the dictionary are written; the modulo only picks which
+    # of them get a second, overriding line (it does not subset the data).
     supplier = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 3)
     first = supplier.select(F.lit(0).alias("seq"), "s_suppkey", F.col("s_name").alias("name"))
     again = supplier.where(F.col("s_suppkey") % 7 == 0).select(
