@@ -54,6 +54,10 @@ class RunOptions:
     k: int = TOP_K
     export_lines: bool = False
 
+    def __post_init__(self):
+        if not isinstance(self.k, int) or self.k < 1:
+            raise ValueError(f"k must be a positive integer, got {self.k!r}")
+
 
 # Columns and order of each metric in the plain-line export: names and
 # counts only, ``name,value`` per line as in the original output files.
