@@ -152,13 +152,21 @@ def run_batch(
     """
     store = StateStore(spark, base_path)
     run_id = None
+    cached: list[DataFrame] = []
     try:
         previous = store.latest_commit()
         mark = previous.last_date if previous else NOTHING_PROCESSED
         seq, run_id = store.new_run(previous)
 
-        airports_df, airlines_df = bounded_broadcasts(
-            _as_dictionary(spark, airports, "airports"), _as_dictionary(spark, airlines, "airlines"))
+        airports_df = _as_dictionary(spark, airports, "airports")
+        airlines_df = _as_dictionary(spark, airlines, "airlines")
+        # Dictionaries read from text are parsed and de-duplicated once per run
+        # and kept (they are used by the size check, both semi joins and four
+        # lookups); cached blocks lost with an executor are re-read from the file.
+        for d, src in ((airports_df, airports), (airlines_df, airlines)):
+            if isinstance(src, (str, list)):
+                cached.append(d.cache())
+        airports_df, airlines_df = bounded_broadcasts(airports_df, airlines_df)
         clean = clean_flights(_as_flights(spark, flights), airports_df, mark,
                               airport_codes=airports_df.select("code"))
 
@@ -215,6 +223,9 @@ def run_batch(
         except Exception:  # the original error matters more than the log line
             pass
         raise
+    finally:
+        for d in cached:
+            d.unpersist()
 
 
 class _Published(Mapping):
