@@ -122,6 +122,34 @@ class StateStore:
             raise LookupError("no committed run yet")
         return self.spark.read.parquet(self.metrics_path(c.run_id, name))
 
+    def stale_runs(self, keep: int = 2) -> list[str]:
+        """Folders of runs that no reader needs any more, for a retention job.
+
+        Keeps the newest ``keep`` committed runs and every run started after
+        the newest commit (it may still be in flight); lists older committed
+        runs and runs that never committed.  Nothing is deleted here.  Run
+        ids are found by partition discovery over ``snapshots/``.
+        """
+        latest = self.latest_commit()
+        if latest is None:
+            return []
+        snaps = self._read_or_none(self._p("snapshots"), "run STRING")
+        if snaps is None:
+            return []
+        on_disk = sorted(r.run for r in snaps.select("run").distinct().collect())
+        committed = {r.run_id: r.seq for r in self.commits().select("run_id", "seq").collect()}
+        kept_from = latest.seq - keep + 1
+        stale = []
+        for run_id in on_disk:
+            seq = int(run_id.split("-", 1)[0])
+            if seq > latest.seq:
+                continue  # started after the newest commit: may be running
+            if run_id in committed and seq >= kept_from:
+                continue
+            stale += [self.snapshot_path(run_id), self.metrics_path(run_id),
+                      self._p("metrics_text", f"run={run_id}")]
+        return stale
+
     # -- writes --------------------------------------------------------------
     @staticmethod
     def new_run(previous: Commit | None) -> tuple[int, str]:
