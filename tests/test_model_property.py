@@ -9,7 +9,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import write_files
-from skytally.constants import DELAY_REASONS
 from skytally.plans.batch import RunOptions, run_batch
 
 AIRPORTS = {"JFK": "Kennedy", "LAX": "Los Angeles", "SFO": "San Francisco", "ORD": "O Hare"}

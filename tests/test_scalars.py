@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from skytally.functions import cause_minutes, half_up_percent, pad2, strict_date, strict_int
 
