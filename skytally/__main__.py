@@ -2,7 +2,7 @@
 
     python -m skytally --base-path <dir> [--input-file flights.csv]
         [--airports-order desc] [--airlines-order asc] [--carriers-order asc]
-        [--destinations-order asc] [--top 10] [--no-text]
+        [--destinations-order asc] [--top 10] [--no-text] [--import-cache DIR]
 
 Inputs are read from ``<base>/input/`` (``<input-file>``, ``airlines.csv``,
 ``airports.csv``); state, published metrics (parquet and, unless
@@ -37,9 +37,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--destinations-order", choices=["asc", "desc"], default="asc")
     p.add_argument("--top", type=int, default=10)
     p.add_argument("--no-text", action="store_true", help="skip the plain-text metric export")
+    p.add_argument("--import-cache", metavar="DIR",
+                   help="import the original job's cache folder as the first run, then stop")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("skytally").getOrCreate()
+    if a.import_cache:
+        from .sources.text_state import import_text_state
+
+        commit = import_text_state(spark, a.import_cache, os.path.join(a.base_path, "state"))
+        print("nothing to import" if commit is None
+              else f"imported up to {commit.last_date} as run={commit.run_id}")
+        return 0
     inp = os.path.join(a.base_path, "input")
     options = RunOptions(
         airports_ascending=_order(a.airports_order),

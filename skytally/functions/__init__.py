@@ -11,6 +11,7 @@ from .scalars import (
     is_on_time,
     is_on_time_sql,
     pad2,
+    parse_int_sql,
     strict_date,
     strict_int,
     strict_int_sql,
@@ -29,6 +30,7 @@ __all__ = [
     "is_on_time",
     "is_on_time_sql",
     "pad2",
+    "parse_int_sql",
     "strict_date",
     "strict_int",
     "strict_int_sql",

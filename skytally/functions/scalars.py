@@ -64,9 +64,14 @@ def cause_present_sql(col: str) -> str:
     return f"CASE WHEN {is_blank_or_zero_sql(col)} THEN 0 ELSE 1 END"
 
 
+def parse_int_sql(expr: str) -> str:
+    """SQL: the 32-bit integer written in the text ``expr`` (an SQL
+    expression), NULL unless it is an optional sign and ASCII digits."""
+    return f"CASE WHEN ({expr}) RLIKE '^[+-]?[0-9]+$' THEN try_cast(({expr}) AS INT) END"
+
+
 def strict_int_sql(col: str) -> str:
-    c = _ident(col)
-    return f"CASE WHEN {c} RLIKE '^[+-]?[0-9]+$' THEN try_cast({c} AS INT) END"
+    return parse_int_sql(_ident(col))
 
 
 def cause_minutes_sql(col: str, what: str) -> str:
