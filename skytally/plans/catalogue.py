@@ -273,6 +273,36 @@ def q_metrics_sink_roundtrip(spark, sf_dir):
     return read_metric_lines(spark, path, _M3_LINE_SCHEMA)
 
 
+def q_text_state_roundtrip(spark, sf_dir):
+    """One-shot counts written in the original job's cache formats (count
+    folders, five-counter lines, mark file), imported, read back."""
+    from ..sources import text_state as T
+
+    i = Inputs(spark, sf_dir)
+    counts = tally(i.clean())
+    cache = scratch_dir(spark, "text-cache")
+
+    def write(df, name):
+        df.write.mode("errorifexists").text(f"{cache}/{name}")
+
+    for folder, metric in T.SINGLE_KEY_FOLDERS.items():
+        write(counts.where(F.col("metric") == metric).select(F.concat_ws(",", "k1", "n")), folder)
+    for folder, metric in T.PAIR_KEY_FOLDERS.items():
+        pair = F.concat(F.lit("("), F.col("k1"), F.lit(","), F.col("k2"), F.lit("),"), F.col("n").cast("string"))
+        write(counts.where(F.col("metric") == metric).select(pair), folder)
+    totals = reasons_from_counts(counts)
+    for name, metric in T.FIVE_COUNTER_FILES.items():
+        prefix = "c_" if metric == C.REASON_COUNT else "m_"
+        write(totals.select(F.concat_ws(",", *[F.col(f"{prefix}{c}").cast("string")
+                                               for c, _ in C.DELAY_REASONS])), name)
+    last_day = counts.where((F.col("metric") == C.BATCH) & (F.col("k1") == "last_day"))
+    write(last_day.select(F.date_add(F.lit("1970-01-01").cast("date"), F.col("n").cast("int")).cast("string")),
+          T.MARK_FILE)
+    base = scratch_dir(spark, "imported")
+    T.import_text_state(spark, cache, base)
+    return _no_batch(StateStore(spark, base).committed_state())
+
+
 # -- the incremental cycle -------------------------------------------------------------
 
 def _runs(spark, sf_dir, second_from: _dt.date | None, repeat_second: bool = False):
@@ -396,6 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dictionary_last_wins_airlines": q_dictionary_last_wins_airlines,
     "csv_scan_roundtrip": q_csv_scan_roundtrip,
     "state_roundtrip": q_state_roundtrip,
+    "text_state_roundtrip": q_text_state_roundtrip,
     "metrics_sink_roundtrip": q_metrics_sink_roundtrip,
     "incremental_two_batches": q_incremental_two_batches,
     "incremental_late_rows_ignored": q_incremental_late_rows_ignored,

@@ -248,6 +248,7 @@ ORACLE: dict[str, str] = {
         "FROM supplier WHERE s_suppkey % 10 <> 3"),
     "csv_scan_roundtrip": _with(body=f"SELECT {_AS_TEXT} FROM clean"),
     "state_roundtrip": _state_with_batch(),
+    "text_state_roundtrip": _long(),
     "metrics_sink_roundtrip": _query(_top_per_origin(
         "airline", "airline", "airlines_d", False,
         select="o.name AS origin, p.name AS airline, r.ontime_departures, r.rank")),
