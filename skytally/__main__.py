@@ -2,7 +2,7 @@
 
     python -m skytally --base-path <dir> [--input-file flights.csv]
         [--airports-order desc] [--airlines-order asc] [--carriers-order asc]
-        [--destinations-order asc] [--top 10] [--no-text] [--import-cache DIR]
+        [--destinations-order asc] [--top 10] [--no-text] [--import-cache DIR] [--inbox DIR]
 
 Inputs are read from ``<base>/input/`` (``<input-file>``, ``airlines.csv``,
 ``airports.csv``); state, published metrics (parquet and, unless
@@ -39,6 +39,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--no-text", action="store_true", help="skip the plain-text metric export")
     p.add_argument("--import-cache", metavar="DIR",
                    help="import the original job's cache folder as the first run, then stop")
+    p.add_argument("--inbox", metavar="DIR",
+                   help="process the flight files that arrived in DIR since the last call (file stream, "
+                        "availableNow), instead of --input-file")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("skytally").getOrCreate()
@@ -58,6 +61,22 @@ def main(argv: list[str] | None = None) -> int:
         k=a.top,
         export_lines=not a.no_text,
     )
+    if a.inbox:
+        from .streaming import start_incremental
+
+        results = []
+        query = start_incremental(
+            spark, a.inbox, os.path.join(inp, "airlines.csv"), os.path.join(inp, "airports.csv"),
+            os.path.join(a.base_path, "state"),
+            checkpoint_location=os.path.join(a.base_path, "inbox-checkpoint"),
+            options=options, results=results,
+        )
+        query.awaitTermination()
+        for result in results:
+            _report(result)
+        if not results:
+            print("no new files")
+        return 0
     result = run_batch(
         spark,
         os.path.join(a.base_path, "state"),
@@ -66,9 +85,13 @@ def main(argv: list[str] | None = None) -> int:
         os.path.join(inp, "airports.csv"),
         options,
     )
+    _report(result)
+    return 0
+
+
+def _report(result) -> None:
     print(f"{result.status} run={result.run_id} flights={result.flights} "
           f"from={result.first_date} to={result.last_date}")
-    return 0
 
 
 if __name__ == "__main__":

@@ -29,3 +29,19 @@ def test_stream_processes_new_files_once(spark, tmp_path):
     assert store.latest_commit().seq == 2
     m1 = {r.airport: r.flights for r in results[1].metrics["top_airports"].collect()}
     assert m1 == {"Kennedy": 5, "Los Angeles": 3, "San Francisco": 3}
+
+
+def test_cli_inbox(spark, tmp_path):
+    from skytally.__main__ import main
+
+    job = tmp_path / "job"
+    write_files(job / "input", {"airports.csv": AIRPORTS, "airlines.csv": AIRLINES})
+    inbox = tmp_path / "inbox"
+    write_files(inbox, {"a.csv": HEADER + BATCH1})
+    assert main(["--base-path", str(job), "--inbox", str(inbox)]) == 0
+    write_files(inbox, {"b.csv": HEADER + BATCH2})
+    assert main(["--base-path", str(job), "--inbox", str(inbox)]) == 0
+    assert main(["--base-path", str(job), "--inbox", str(inbox)]) == 0  # nothing new
+    store = StateStore(spark, str(job / "state"))
+    assert store.latest_commit().seq == 2
+    assert store.latest_commit().flights == 3
