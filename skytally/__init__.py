@@ -2,6 +2,7 @@
 
 from .plans.batch import BatchResult, RunOptions, run_batch
 from .session import checkpoint_root, make_session
+from .sources.text_state import import_text_state
 from .state import StateStore
 from .streaming import start_incremental
 
@@ -10,6 +11,7 @@ __all__ = [
     "RunOptions",
     "StateStore",
     "checkpoint_root",
+    "import_text_state",
     "make_session",
     "run_batch",
     "start_incremental",
