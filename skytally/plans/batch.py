@@ -145,10 +145,10 @@ def run_batch(
     ``flights`` is a flights CSV path or a frame of the 12 flight columns
     (``flight_date`` DATE, the rest strings, '' for missing; optionally
     ``_problem`` from the text parser); ``airlines``/``airports`` are
-    dictionary CSV paths or ``(code, name)`` frames with unique codes.  On error the
-    run is logged as ``error`` and the exception re-raised; nothing is
-    published.  With no new rows the status is ``no_new_data`` and nothing
-    changes.
+    dictionary CSV paths or ``(code, name)`` frames with unique codes.
+    On error the run is logged as ``error`` and the exception re-raised;
+    nothing is published.  With no new rows the status is ``no_new_data``
+    and nothing changes.
     """
     store = StateStore(spark, base_path)
     run_id = None
