@@ -191,3 +191,18 @@ def test_windows_line_endings(spark, tmp_path):
     assert r.flights == 8
     assert reasons(r.metrics["delay_reason_minutes"], "minutes") == [30, 0, 12, 8, 0]
     assert ranked(r.metrics["top_airports"], "airport", "flights")[0] == ("Kennedy", 3)
+
+
+def test_cli_order_and_no_text(spark, tmp_path):
+    import os
+
+    from skytally.__main__ import main
+
+    base = tmp_path / "job"
+    write_files(base / "input", {"airports.csv": AIRPORTS, "airlines.csv": AIRLINES,
+                                 "flights.csv": HEADER + BATCH1})
+    assert main(["--base-path", str(base), "--airports-order", "asc", "--top", "2", "--no-text"]) == 0
+    store = StateStore(spark, str(base / "state"))
+    m1 = store.committed_metric("top_airports")
+    assert ranked(m1, "airport", "flights") == [("San Francisco", 2), ("Kennedy", 3)]
+    assert not os.path.exists(store.lines_path(store.latest_commit().run_id, "top_airports"))
