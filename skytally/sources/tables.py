@@ -3,7 +3,7 @@
 There is no flights table among the provided parquet tables, so a
 flights view is derived from ``lineitem ⋈ orders ⋈ customer ⋈ supplier``
 (one flight per line item).  The mapping is a fixed convention shared
-with the SQL oracle in ``__spark_entry__.py``: ship date -> flight date,
+with the SQL oracle in ``plans/oracle.py``: ship date -> flight date,
 ISO weekday -> week day, supplier -> airline, customer nation -> origin,
 supplier nation -> destination, and small arithmetic on keys for the
 delay fields, with some delays left empty so every branch has work.
