@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import bpe_digests
+from .lm_scores import lm_scores
+from .quality_classifier import quality_classifier
+from .quality_rules import quality_rules
 from .shared import table
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -19,9 +23,26 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op6_bpe_codec)}
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_quality_rules, op3_toxicity, op6_bpe_codec, op7_quality_classifier, op9_lm_scores)}
 ORACLE: dict[str, str] = {}
