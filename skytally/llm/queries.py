@@ -11,6 +11,7 @@ from .quality_rules import quality_rules
 from .shared import table
 from .token_counts import token_counts
 from .toxicity import toxicity
+from .warc import warc_round_trip
 
 
 def tokenizer(name: str) -> str:
@@ -31,6 +32,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -44,5 +49,17 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op3_toxicity, op6_bpe_codec, op7_quality_classifier, op9_lm_scores)}
+    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op6_bpe_codec, op7_quality_classifier, op9_lm_scores)}
 ORACLE: dict[str, str] = {}
+
+ORACLE["op4_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), q AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM q
+"""
