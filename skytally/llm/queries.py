@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import bpe_digests
+from .decontamination import decontamination
 from .lm_scores import lm_scores
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
@@ -36,6 +37,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -49,7 +54,7 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op6_bpe_codec, op7_quality_classifier, op9_lm_scores)}
+    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op5_decontamination, op6_bpe_codec, op7_quality_classifier, op9_lm_scores)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op4_warc"] = """
@@ -63,3 +68,31 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to
 FROM q
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCH_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op5_decontamination"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_BENCH_WORDS} AS ws FROM documents
+), i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_BENCH_WORDS} AS ws FROM benchmark
+), j AS (
+  SELECT item, ws, least(10, len(ws)) AS n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS k FROM i WHERE len(ws) > 0
+), w AS (
+  SELECT DISTINCT item, n, array_to_string(ws[k:k + n - 1], ' ') AS win FROM j
+), p AS (
+  SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM w) WHERE len(ws) >= n
+), q AS (
+  SELECT r, n, k, array_to_string(ws[k:k + n - 1], ' ') AS win FROM p
+), m AS (
+  SELECT q.r, q.n, q.k, w.item FROM q JOIN w ON q.n = w.n AND q.win = w.win
+), h AS (
+  SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS x FROM (SELECT DISTINCT r, n, k FROM m)) GROUP BY r
+), t AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
