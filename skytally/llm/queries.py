@@ -10,6 +10,7 @@ from .lm_scores import lm_scores
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .shared import table
+from .suffix_dedup import suffix_dedup
 from .token_counts import token_counts
 from .toxicity import toxicity
 from .warc import warc_round_trip
@@ -53,8 +54,13 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op5_decontamination, op6_bpe_codec, op7_quality_classifier, op9_lm_scores)}
+    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op5_decontamination, op6_bpe_codec, op7_quality_classifier, op9_lm_scores,
+    op10_suffix_dedup)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op4_warc"] = """
