@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import bpe_digests
 from .decontamination import decontamination
+from .jaccard_join import jaccard_join
 from .lm_scores import lm_scores
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
@@ -50,6 +51,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
@@ -59,8 +64,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op5_decontamination, op6_bpe_codec, op7_quality_classifier, op9_lm_scores,
-    op10_suffix_dedup)}
+    op1_token_counts, op2_quality_rules, op3_toxicity, op4_warc, op5_decontamination, op6_bpe_codec, op7_quality_classifier, op8_jaccard_join,
+    op9_lm_scores, op10_suffix_dedup)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op4_warc"] = """
