@@ -244,7 +244,7 @@ def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         c = codec(path)
         for batch in batches:
-            for piece, raw in slices(batch, limit=1 << 20):
+            for piece, raw in slices(batch):
                 ids = encode_texts(c, raw)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array([x.tolist() for x in ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -266,23 +266,27 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode and decode in one pass."""
+def bpe_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode and decode in one pass; the ids too if wanted."""
     ship(docs.sparkSession)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def run(batches):
         c = codec(path)
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
-            for piece, raw in slices(batch, limit=1 << 20):
-                n, a, b = [], [], []
-                for ids in encode_texts(c, raw):
-                    ids = ids.tolist()
+            for piece, raw in slices(batch):
+                n, a, b, arrays = [], [], [], encode_texts(c, raw)
+                for ids in map(np.ndarray.tolist, arrays):
                     n.append(len(ids))
                     a.append(sha(",".join(map(c.decimal.__getitem__, ids)).encode()))
                     b.append(sha(c.decode(ids).encode()))
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                out = [piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+                if with_ids:
+                    flat = np.concatenate(arrays).astype(np.int32)
+                    out.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays(out, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -209,3 +209,11 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW,
     n_hit = F.coalesce("hit", F.lit(0)).cast("long")
     return out.select("doc_id", "key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                       F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW, width: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+    _, matches = contamination(docs, benchmark, length, width)
+    hit = written(matches.select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct(), "decontamination-hit")
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]) & (key == hit["hit_key"]), "left_anti")

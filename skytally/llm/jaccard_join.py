@@ -154,11 +154,11 @@ def marked(packed: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
     return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-SETS = "ord long, n long, node long, prefix array<long>, tokens binary"
+SETS = "ord long, key long, n long, node long, prefix array<long>, tokens binary"
 
 
 def described(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
-    """Per row of ``docs`` (ord, text): size of the set, class, shared prefix shingles and, where there are any, the set."""
+    """Per row of ``docs`` (ord, key, text): size of the set, class, shared prefix shingles and, where there are any, the set."""
     def run(batches):
         maps = shared.value
         for batch in batches:
@@ -180,10 +180,10 @@ def described(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
                 edge = np.append(0, np.cumsum(some))
                 prefix = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(s[pick].view(np.int64)))
                 tokens = [s[a:a + c].tobytes() if m else None for a, c, m in zip(begin.tolist(), n.tolist(), some.tolist())]
-                yield pa.RecordBatch.from_arrays([piece.column("ord"), pa.array(n, pa.int64()), pa.array(node, pa.int64(), mask=n == 0), prefix, pa.array(tokens, pa.binary())],
-                                                 ["ord", "n", "node", "prefix", "tokens"])
+                yield pa.RecordBatch.from_arrays([piece.column("ord"), piece.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64(), mask=n == 0), prefix, pa.array(tokens, pa.binary())],
+                                                 ["ord", "key", "n", "node", "prefix", "tokens"])
 
-    return docs.select("ord", "text").mapInArrow(run, SETS)
+    return docs.select("ord", "key", "text").mapInArrow(run, SETS)
 
 
 # -- signature trees -------------------------------------------------------------------
@@ -338,7 +338,7 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """ord, n_shingles and component (smallest ord) of every row of ``docs`` (ord, text); ``ord`` not null."""
+    """ord, key, n_shingles and component (smallest ord) of every row of ``docs`` (ord, key, text); ``ord`` not null."""
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -351,28 +351,31 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = classes.groupBy("root").agg(F.min("least").alias("component"))
     found = classes.select("node", "root").join(best, "root").select("node", "component")
-    return sets.select("ord", "n", "node").join(found, "node", "left").select(
-        "ord", F.col("n").alias("n_shingles"), F.coalesce("component", "ord").alias("component"))
+    return sets.select("ord", "key", "n", "node").join(found, "node", "left").select(
+        "ord", "key", F.col("n").alias("n_shingles"), F.coalesce("component", "ord").alias("component"))
 
 
-def with_ord(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("ord"), "text")
+def ord_of(docs: DataFrame):
+    return F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID))
+
+
+def key_of(docs: DataFrame):
+    """Tells rows with equal ids apart: a hash of the text."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
 
 
 def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
-    out = jaccard_components(with_ord(docs), width, percent)
+    out = jaccard_components(docs.select(ord_of(docs).alias("ord"), key_of(docs).alias("key"), "text"), width, percent)
     as_id = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
     return out.select(as_id("ord").alias("doc_id"), "n_shingles", as_id("component").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component.
 
-    Rows that share that id and repeat one another are all kept; rows without id
-    are kept unless they link with a row that has one.
+    Repeated rows with that id are all kept, as are rows without id that link with none that has one.
     """
-    out = jaccard_join(docs, width, percent)
-    drop = out.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "n_shingles").distinct()
-    named = drop.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(named, "doc_id", "left_anti")
+    out = jaccard_components(docs.select(ord_of(docs).alias("ord"), key_of(docs).alias("key"), "text"), width, percent)
+    drop = written(out.where("component < ord").select(F.col("ord").alias("drop_ord"), F.col("key").alias("drop_key")).distinct(), "jaccard-dropped")
+    return docs.join(drop, (ord_of(docs) == drop["drop_ord"]) & (key_of(docs) == drop["drop_key"]), "left_anti")

@@ -167,21 +167,32 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class
     return Classifier().fit([np.frombuffer(r["x"], "<f4").reshape(-1, FEATURES).astype(np.float64) for r in rows], np.array([r["y"] for r in rows], np.float64))
 
 
-def scored(docs: DataFrame, model: Classifier, threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
-    """All columns of ``docs`` named below, with held_out, score and predicted."""
+def scored(docs: DataFrame, model: Classifier, threshold: float = 0.5) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
             for piece, raw in slices(batch):
                 s = shared.value.scores(*passages(raw))
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in piece.schema.names if keep_text or c != "text"),
-                                                  pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                                                 [*(c for c in piece.schema.names if keep_text or c != "text"), "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                                                 ["doc_id", "held_out", "score", "predicted"])
 
-    own = docs.withColumn("held_out", held_out()) if keep_text else docs.select("doc_id", held_out().alias("held_out"), "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if keep_text or f.name != "text")
-    return own.mapInArrow(run, f"{fields}, score double, predicted int")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the classifier accepts."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, per_class=per_class))
+
+    def run(batches):
+        for batch in batches:
+            for piece, raw in slices(batch):
+                yield piece.filter(pa.array(shared.value.scores(*passages(raw)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:

@@ -458,7 +458,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names)
 
     names = docs.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     extra = docs.select([F.col(f"`{c}`").alias(f"c{i}") if c not in ("doc_id", "text") else F.col(c) for i, c in enumerate(names)])
     back = with_spans(extra).select([*(F.col(c if c in ("doc_id", "text") else f"c{i}").alias(c) for i, c in enumerate(names)), F.col("gone"), F.col("spans")])
-    return back.mapInArrow(run, fields)
+    return back.mapInArrow(run, docs.schema)
