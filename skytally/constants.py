@@ -50,7 +50,6 @@ FLIGHT_COLUMNS = [
     "arrival_delay",
     *[c for c, _ in DELAY_REASONS],
 ]
-STRING_FIELDS = FLIGHT_COLUMNS[1:]
 
 # Metric ids used as the ``metric`` column of the long counts/state frame
 # ``(metric string, k1 string, k2 string, n bigint)``.
@@ -63,16 +62,6 @@ REASON_COUNT = "delay_reason_count"                    # k1 = reason label
 REASON_MINUTES = "delay_reason_minutes"                # k1 = reason label
 BATCH = "__batch__"                                    # k1 = rows / first_day / last_day
 
-COUNT_METRICS = [
-    DEPARTURES_BY_ORIGIN,
-    ONTIME_BY_AIRLINE,
-    ONTIME_BY_ORIGIN_AIRLINE,
-    ONTIME_BY_ORIGIN_DEST,
-    ONTIME_ARRIVALS_BY_WEEKDAY,
-    REASON_COUNT,
-    REASON_MINUTES,
-]
-
 STATE_SCHEMA = "metric STRING, k1 STRING, k2 STRING, n BIGINT"
 
 # Names of the published metric tables of a run (one folder each).
@@ -86,3 +75,17 @@ METRIC_NAMES = [
     "delay_reason_percent",
     "delay_reason_minutes",
 ]
+
+# Columns of the published metric tables.
+METRIC_SCHEMAS = {
+    "top_airports": "rank BIGINT, airport_code STRING, airport STRING, flights BIGINT",
+    "top_airlines": "rank BIGINT, airline_code STRING, airline STRING, ontime_flights BIGINT",
+    "top_carriers_per_origin":
+        "origin_code STRING, origin STRING, rank BIGINT, airline_code STRING, airline STRING, ontime_departures BIGINT",
+    "top_destinations_per_origin":
+        "origin_code STRING, origin STRING, rank BIGINT, destination_code STRING, destination STRING, ontime_departures BIGINT",
+    "weekdays_by_ontime": "rank BIGINT, week_day STRING, ontime_arrivals BIGINT",
+    "delay_reason_counts": "reason_id INT, reason STRING, flights BIGINT",
+    "delay_reason_percent": "reason_id INT, reason STRING, percent DOUBLE",
+    "delay_reason_minutes": "reason_id INT, reason STRING, minutes BIGINT",
+}

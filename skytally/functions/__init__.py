@@ -1,14 +1,11 @@
 from .scalars import (
     cause_minutes,
     cause_minutes_sql,
-    cause_present,
     cause_present_sql,
     date_lit,
     half_up_percent,
     half_up_percent_sql,
-    is_blank_or_zero,
     is_blank_or_zero_sql,
-    is_on_time,
     is_on_time_sql,
     pad2,
     parse_int_sql,
@@ -20,14 +17,11 @@ from .scalars import (
 __all__ = [
     "cause_minutes",
     "cause_minutes_sql",
-    "cause_present",
     "cause_present_sql",
     "date_lit",
     "half_up_percent",
     "half_up_percent_sql",
-    "is_blank_or_zero",
     "is_blank_or_zero_sql",
-    "is_on_time",
     "is_on_time_sql",
     "pad2",
     "parse_int_sql",

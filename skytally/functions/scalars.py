@@ -83,20 +83,6 @@ def cause_minutes_sql(col: str, what: str) -> str:
     )
 
 
-def is_on_time(col: str) -> Column:
-    """Exactly '0' minutes: early ('-3') and missing ('') do not count."""
-    return F.expr(is_on_time_sql(col))
-
-
-def is_blank_or_zero(col: str) -> Column:
-    return F.expr(is_blank_or_zero_sql(col))
-
-
-def cause_present(col: str) -> Column:
-    """0/1 indicator of a delay cause: anything but '' or '0' counts."""
-    return F.expr(cause_present_sql(col))
-
-
 def strict_int(col: str) -> Column:
     """Integer text as Java's ``Integer.parseInt`` reads it, else NULL.
 

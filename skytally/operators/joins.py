@@ -2,9 +2,10 @@
 
 Dictionaries are small in practice (a few hundred airports, a few dozen
 airlines), but they are inputs, so their size is checked before they are
-broadcast: ``bounded_broadcast`` counts at most ``max_rows + 1`` rows and
-only then adds the broadcast hint.  A dictionary over the bound is joined
-without a hint and Catalyst/AQE choose a shuffle join instead.
+broadcast: ``bounded_broadcast`` looks at ``max_rows + 1`` rows at most and adds
+the broadcast hint only within that number and ``MAX_BROADCAST_BYTES`` of text.
+A dictionary over a bound is joined without a hint and Catalyst/AQE choose
+a shuffle join instead; the result is the same.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS_CONF = "skytally.broadcast.maxRows"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -26,12 +28,10 @@ def broadcast_limit(df: DataFrame) -> int:
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check runs a bounded job (``limit(max_rows + 1).count()``), so its
-    cost does not grow past the bound whatever the size of ``df``.
+    The check runs a bounded job over ``limit(max_rows + 1)``, so its cost does
+    not grow past the bound whatever the size of ``df``.
     """
-    bound = broadcast_limit(df) if max_rows is None else max_rows
-    n = df.limit(bound + 1).count()
-    return F.broadcast(df) if n <= bound else df
+    return bounded_broadcasts(df, max_rows=max_rows)[0]
 
 
 def bounded_broadcasts(*dfs: DataFrame, max_rows: int | None = None) -> list[DataFrame]:
@@ -39,10 +39,17 @@ def bounded_broadcasts(*dfs: DataFrame, max_rows: int | None = None) -> list[Dat
     if not dfs:
         return []
     bound = broadcast_limit(dfs[0]) if max_rows is None else max_rows
-    probes = [df.limit(bound + 1).select(F.lit(i).alias("_frame")) for i, df in enumerate(dfs)]
+    probes = [df.limit(bound + 1).select(F.lit(i).alias("_frame"), _text_bytes(df).alias("_bytes")) for i, df in enumerate(dfs)]
     union = reduce(lambda a, b: a.unionAll(b), probes)
-    sizes = {r["_frame"]: r["n"] for r in union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(df) if sizes.get(i, 0) <= bound else df for i, df in enumerate(dfs)]
+    sizes = {r["_frame"]: (r["n"], r["b"]) for r in
+             union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("b")).collect()}
+    fits = [n <= bound and b <= MAX_BROADCAST_BYTES for n, b in (sizes.get(i, (0, 0)) for i in range(len(dfs)))]
+    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, fits)]
+
+
+def _text_bytes(df: DataFrame):
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    return reduce(lambda a, b: a + b, lengths, F.lit(0)).cast("long")
 
 
 def keep_known(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Most rows that ``rank_all`` numbers.
+RANK_ALL_LIMIT = 100_000
+
+
 def _order(value: str, key: str, ascending: bool) -> list[Column]:
     v = F.col(value).asc() if ascending else F.col(value).desc()
     return [v, F.col(key).asc()]
@@ -46,8 +50,13 @@ def top_k_per_group(
 def rank_all(df: DataFrame, value: str, key: str, ascending: bool) -> DataFrame:
     """All rows numbered by ``value`` (a total order: ties broken by ``key``).
 
-    Numbering a total order needs one partition; use on aggregated frames
-    whose size is bounded by a key domain (e.g. the week days).
+    Numbering a total order needs one partition, so this is for aggregated
+    frames of a small key domain (e.g. the week days): with more than
+    ``RANK_ALL_LIMIT`` rows the query fails.  Each task hands on one row more
+    than that at most.
     """
-    w = Window.orderBy(*_order(value, key, ascending))
-    return df.withColumn("rank", F.row_number().over(w).cast("long"))
+    order = _order(value, key, ascending)
+    some = df.orderBy(*order).limit(RANK_ALL_LIMIT + 1)
+    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
+    too_many = F.raise_error(F.lit(f"more than {RANK_ALL_LIMIT} values of {key} to rank"))
+    return some.withColumn("rank", rank).withColumn("rank", F.when(F.col("rank") > RANK_ALL_LIMIT, too_many).otherwise(F.col("rank")))

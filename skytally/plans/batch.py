@@ -6,11 +6,13 @@ Cost model of a run, whatever the input size:
   incremental cut, the airport filter and the counts of all seven
   metrics happen in one job (``tally``, one aggregate whose partial
   aggregation runs before the only shuffle of the input);
-* that job merges the new counts with the committed state (a union and
-  one more aggregate over group-sized data, not row-sized) and writes the
-  new snapshot; the lineage to the input ends there;
+* without new rows the run ends there, with a log line and nothing else;
+* otherwise the new counts are merged with the committed state (a union and
+  one more aggregate over group-sized data, not row-sized) into the new
+  snapshot; the lineage to the input ends there;
 * the metrics are computed from the written snapshot, which holds one
-  row per group, and written under the same run id;
+  row per group, and written in one job under the same run id, partitioned
+  by metric;
 * one commit row makes snapshot and metrics visible together.
 """
 
@@ -104,12 +106,6 @@ def metric_builders(state: DataFrame, airports: DataFrame, airlines: DataFrame,
     }
 
 
-def metrics_from_state(state: DataFrame, airports: DataFrame, airlines: DataFrame,
-                       options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
-    """All metric tables from a long state/count frame."""
-    return {name: build() for name, build in metric_builders(state, airports, airlines, options).items()}
-
-
 def _require(df: DataFrame, columns: list[str], what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -120,16 +116,19 @@ def _as_flights(spark: SparkSession, flights: DataFrame | str | list[str]) -> Da
     if isinstance(flights, (str, list)):
         return read_flights_csv(spark, flights)
     _require(flights, FLIGHT_COLUMNS, "flights")
-    if "_problem" not in flights.columns:  # a typed source has no malformed rows to report
-        flights = flights.withColumn("_problem", F.lit(None).cast("string"))
-    return flights
+    # A typed source reports no malformed rows itself: a missing date aborts the
+    # run as it does for text, missing strings are empty fields.
+    undated = F.when(F.col("flight_date").isNull(), F.lit("flight without a date"))
+    problem = F.coalesce(F.col("_problem"), undated) if "_problem" in flights.columns else undated
+    return flights.select("flight_date", *[F.coalesce(c, F.lit("")).alias(c) for c in FLIGHT_COLUMNS[1:]], problem.alias("_problem"))
 
 
 def _as_dictionary(spark: SparkSession, d: DataFrame | str | list[str], what: str) -> DataFrame:
     if isinstance(d, (str, list)):
         return read_dictionary_csv(spark, d)
     _require(d, ["code", "name"], what)
-    return d.select(F.col("code").cast("string"), F.col("name").cast("string"))
+    # A frame has no order of rows: of a repeated code the smallest name is kept.
+    return d.groupBy(F.col("code").cast("string").alias("code")).agg(F.coalesce(F.min(F.col("name").cast("string")), F.lit("")).alias("name"))
 
 
 def run_batch(
@@ -143,9 +142,11 @@ def run_batch(
     """Process the flights newer than the last committed run.
 
     ``flights`` is a flights CSV path or a frame of the 12 flight columns
-    (``flight_date`` DATE, the rest strings, '' for missing; optionally
+    (``flight_date`` DATE, the rest strings, '' or NULL for missing; optionally
     ``_problem`` from the text parser); ``airlines``/``airports`` are
-    dictionary CSV paths or ``(code, name)`` frames with unique codes.
+    dictionary CSV paths or ``(code, name)`` frames (of a code that occurs
+    several times in a frame the smallest name counts).  A row without a date
+    aborts the run.
     On error the run is logged as ``error`` and the exception re-raised;
     nothing is published.  With no new rows the status is ``no_new_data``
     and nothing changes.
@@ -160,20 +161,28 @@ def run_batch(
 
         airports_df = _as_dictionary(spark, airports, "airports")
         airlines_df = _as_dictionary(spark, airlines, "airlines")
-        # Dictionaries read from text are parsed and de-duplicated once per run
-        # and kept (they are used by the size check, both semi joins and four
-        # lookups); cached blocks lost with an executor are re-read from the file.
-        for d, src in ((airports_df, airports), (airlines_df, airlines)):
-            if isinstance(src, (str, list)):
-                cached.append(d.cache())
+        # Dictionaries are parsed and de-duplicated once per run and kept (they
+        # are used by the size check, both semi joins and four lookups); cached
+        # blocks lost with an executor are computed again from their source.
+        for d in (airports_df, airlines_df):
+            cached.append(d.cache())
         airports_df, airlines_df = bounded_broadcasts(airports_df, airlines_df)
         clean = clean_flights(_as_flights(spark, flights), airports_df, mark,
                               airport_codes=airports_df.select("code"))
 
-        new = tally(clean)
+        # The new counts (one row per group) are kept for the run: they say whether
+        # there is anything new before a snapshot is written.  The input is
+        # scanned once.
+        new = tally(clean).cache()
+        cached.append(new)
+        batch = {r.k1: r.n for r in new.where(F.col("metric") == BATCH).select("k1", "n").collect()}
+        n_rows = int(batch.get("rows", 0))
+        if n_rows == 0:
+            store.log(run_id, ("no_new_data", f"no flights after {mark.isoformat()}"))
+            return BatchResult("no_new_data", None, None, None, 0,
+                               _published(store, previous.run_id) if previous else {})
         # The new batch rows pass through the merge unchanged (the old ones are
-        # left out: they describe the previous run).  ``new`` is consumed once,
-        # so the input is scanned once.
+        # left out: they describe the previous run).
         if previous is not None:
             old = store.read_snapshot(previous.run_id).where(F.col("metric") != BATCH)
             snapshot = merge_counts(new, old)
@@ -181,32 +190,21 @@ def run_batch(
             snapshot = merge_counts(new)
         store.write_snapshot(snapshot, run_id)
 
-        state = store.read_snapshot(run_id)
-        batch = {r.k1: r.n for r in state.where(F.col("metric") == BATCH).select("k1", "n").collect()}
-        n_rows = int(batch.get("rows", 0))
-        if n_rows == 0:
-            store.log(run_id, ("no_new_data", f"no flights after {mark.isoformat()}"))
-            return BatchResult("no_new_data", None, None, None, 0,
-                               _published(store, previous.run_id) if previous else {})
+        state = store.read_snapshot(run_id).cache()  # group-sized, read by every metric
+        cached.append(state)
         epoch = _dt.date(1970, 1, 1)
         first = epoch + _dt.timedelta(days=int(batch["first_day"]))
         last = epoch + _dt.timedelta(days=int(batch["last_day"]))
 
         counts_state = state.where(F.col("metric") != BATCH)
         tables = metric_builders(counts_state, airports_df, airlines_df, options)
-        # Independent small jobs, built and submitted together so they share the
-        # cluster (and the driver-side planning overlaps).
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            jobs = [pool.submit(lambda n=name, b=build: store.write_metric(b(), run_id, n))
-                    for name, build in tables.items()]
-            for f in jobs:
-                f.result()
+        store.write_metrics({name: build() for name, build in tables.items()}, run_id)
         if options.export_lines:
             with ThreadPoolExecutor(max_workers=len(tables)) as pool:
                 jobs = []
                 for name in tables:
                     cols, order = LINE_LAYOUT[name]
-                    published = spark.read.parquet(store.metrics_path(run_id, name))
+                    published = store.read_metric(run_id, name)
                     jobs.append(pool.submit(write_metric_lines, published, store.lines_path(run_id, name),
                                             cols, order))
                 for f in jobs:
@@ -240,7 +238,7 @@ class _Published(Mapping):
         if name not in METRIC_NAMES:
             raise KeyError(name)
         if name not in self._read:
-            self._read[name] = self._store.spark.read.parquet(self._store.metrics_path(self._run_id, name))
+            self._read[name] = self._store.read_metric(self._run_id, name)
         return self._read[name]
 
     def __iter__(self):

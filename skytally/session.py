@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,8 +33,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written state and lineage cuts.
 
     Taken from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint directory).  Only when neither is set, as in local tests, a
-    fresh local folder is created and registered as checkpoint directory.
+    checkpoint directory).  Only when neither is set and the master is local,
+    as in tests, a fresh local folder is created and registered as checkpoint
+    directory; on a cluster that is an error, as executors would write to
+    disks that nobody else can read.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -43,6 +46,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="skytally-checkpoint-")
         try:
             if sc is not None:

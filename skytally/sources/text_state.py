@@ -16,7 +16,8 @@ Formats (read as plain text lines):
   value may carry blanks);
 * the mark, one file with an ISO date.
 
-A missing folder or file means "no counts yet", as for the original job.
+A missing folder or file means "no counts yet", but only without a mark: a
+mark says that flights were processed, so all seven count entries must be there.
 Text that does not parse (a count that is not an integer, a bad date) fails
 the import; the original job would silently reset such state.
 """
@@ -116,18 +117,25 @@ def _five_counters(lines: DataFrame, metric: str, name: str) -> DataFrame:
 def read_text_state(spark: SparkSession, cache_dir: str) -> tuple[DataFrame, _dt.date | None]:
     """The original job's cache as ``(long state frame, mark or None)``."""
     parts: list[DataFrame] = []
+    missing: list[str] = []
     for folder, metric in SINGLE_KEY_FOLDERS.items():
         lines = _lines(spark, os.path.join(cache_dir, folder))
         if lines is not None:
             parts.append(_single_key(lines, metric, folder))
+        else:
+            missing.append(folder)
     for folder, metric in PAIR_KEY_FOLDERS.items():
         lines = _lines(spark, os.path.join(cache_dir, folder))
         if lines is not None:
             parts.append(_pair_key(lines, metric, folder))
+        else:
+            missing.append(folder)
     for name, metric in FIVE_COUNTER_FILES.items():
         lines = _lines(spark, os.path.join(cache_dir, name))
         if lines is not None:
             parts.append(_five_counters(lines, metric, name))
+        else:
+            missing.append(name)
     empty = spark.range(0).selectExpr(
         *[f"CAST(NULL AS {t}) AS {n}" for n, t in (f.strip().split(" ", 1) for f in STATE_SCHEMA.split(","))])
     state = merge_counts(empty, *parts)
@@ -141,6 +149,8 @@ def read_text_state(spark: SparkSession, cache_dir: str) -> tuple[DataFrame, _dt
             if first.d is None:
                 raise ValueError(f"not a date in {MARK_FILE}: {first.value!r}")
             mark = first.d
+    if mark is not None and missing:
+        raise ValueError(f"{MARK_FILE} says flights were processed, but the cache lacks {', '.join(missing)}")
     return state, mark
 
 

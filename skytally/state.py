@@ -4,9 +4,9 @@ Layout below ``base_path``::
 
     snapshots/run=<run_id>/metric=<m>/   complete state after a run (parquet,
                                          partitioned by metric for pruning)
-    metrics/run=<run_id>/<name>/         the published metric tables
+    metrics/run=<run_id>/metric=<name>/  the published metric tables
     metrics_text/run=<run_id>/<name>/    optional plain-text export of them
-    commits/                             one row per committed run (appended)
+    commits/run-<seq>/                   one row per committed run
     log/                                 run log rows (appended)
 
 A run writes its snapshot and metric tables under a fresh ``run_id``
@@ -22,12 +22,13 @@ import datetime as _dt
 import os
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import METRIC_NAMES, STATE_SCHEMA
+from .constants import METRIC_NAMES, METRIC_SCHEMAS, STATE_SCHEMA
 
 COMMIT_SCHEMA = (
     "seq BIGINT, run_id STRING, first_date DATE, last_date DATE, flights BIGINT, committed_at TIMESTAMP"
@@ -66,37 +67,35 @@ class StateStore:
 
     def metrics_path(self, run_id: str, name: str | None = None) -> str:
         p = self._p("metrics", f"run={run_id}")
-        return os.path.join(p, name) if name else p
+        return os.path.join(p, f"metric={name}") if name else p
 
     def lines_path(self, run_id: str, name: str) -> str:
         """Plain-text export of a metric (``name,value`` lines, no header)."""
         return self._p("metrics_text", f"run={run_id}", name)
 
     # -- reads ---------------------------------------------------------------
-    def _read_or_none(self, path: str, schema: str) -> DataFrame | None:
+    def _read_or_none(self, path: str, schema: str, nested: bool = False) -> DataFrame | None:
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).option("recursiveFileLookup", nested).parquet(path)
         except AnalysisException as err:
             if _missing(err):
                 return None
             raise
 
-    def _read(self, path: str, schema: str) -> DataFrame:
-        df = self._read_or_none(path, schema)
+    def _read(self, path: str, schema: str, nested: bool = False) -> DataFrame:
+        df = self._read_or_none(path, schema, nested)
         return df if df is not None else _empty(self.spark, schema)
 
     def commits(self) -> DataFrame:
-        return self._read(self._p("commits"), COMMIT_SCHEMA)
+        return self._read(self._p("commits"), COMMIT_SCHEMA, nested=True)
 
     def run_log(self) -> DataFrame:
         return self._read(self._p("log"), LOG_SCHEMA)
 
     def latest_commit(self) -> Commit | None:
         """The newest committed run (one row brought to the driver)."""
-        commits = self._read_or_none(self._p("commits"), COMMIT_SCHEMA)
-        if commits is None:
-            return None
-        rows = commits.orderBy(F.col("seq").desc()).limit(1).collect()
+        commits = self.commits()
+        rows = commits.orderBy(F.col("seq").desc(), F.col("committed_at").desc(), "run_id").limit(1).collect()
         if not rows:
             return None
         r = rows[0]
@@ -120,7 +119,12 @@ class StateStore:
         c = self.latest_commit()
         if c is None:
             raise LookupError("no committed run yet")
-        return self.spark.read.parquet(self.metrics_path(c.run_id, name))
+        return self.read_metric(c.run_id, name)
+
+    def read_metric(self, run_id: str, name: str) -> DataFrame:
+        """A metric table of a run."""
+        _known_metric(name)
+        return self.spark.read.schema(METRIC_SCHEMAS[name]).parquet(self.metrics_path(run_id, name))
 
     def stale_runs(self, keep: int = 2) -> list[str]:
         """Folders of runs that no reader needs any more, for a retention job.
@@ -161,24 +165,40 @@ class StateStore:
         state.select("metric", "k1", "k2", "n").write.mode("errorifexists").partitionBy("metric").parquet(path)
         return path
 
+    def write_metrics(self, tables: dict[str, DataFrame], run_id: str) -> str:
+        """All metric tables of a run in one job: one frame with the columns of
+        all of them (NULL where a table lacks one), a folder per metric."""
+        for name in tables:
+            _known_metric(name)
+        path = self.metrics_path(run_id)
+        frames = [df.select(F.lit(name).alias("metric"), *df.columns) for name, df in tables.items()]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        rows.write.mode("errorifexists").partitionBy("metric").parquet(path)
+        return path
+
     def write_metric(self, df: DataFrame, run_id: str, name: str) -> str:
         _known_metric(name)
         path = self.metrics_path(run_id, name)
         df.write.mode("errorifexists").parquet(path)
         return path
 
-    def _append_rows(self, rows: list[list], schema: str, folder: str) -> None:
+    def _append_rows(self, rows: list[list], schema: str, folder: str, mode: str = "append") -> None:
         """Append a few literal rows (built JVM-side, no Python data transfer)."""
         fields = [f.strip().split(" ", 1) for f in schema.split(",")]
         structs = [
             F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows
         ]
         df = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
-        df.write.mode("append").parquet(self._p(folder))
+        df.write.mode(mode).parquet(self._p(folder))
 
     def commit(self, seq: int, run_id: str, first_date, last_date, flights: int) -> None:
+        """Make a run visible.  Fails if a run with this ``seq`` is committed already
+        (another writer was faster); each commit has a folder of its own, so the
+        check does not depend on when this run last read the commits."""
+        if not self.commits().where(F.col("seq") == seq).isEmpty():
+            raise RuntimeError(f"run {seq} of {self.base} is already committed by another writer")
         row = [seq, run_id, first_date.isoformat(), last_date.isoformat(), flights, _now()]
-        self._append_rows([row], COMMIT_SCHEMA, "commits")
+        self._append_rows([row], COMMIT_SCHEMA, os.path.join("commits", f"run-{seq:010d}"), mode="errorifexists")
 
     def log(self, run_id: str | None, *entries: tuple[str, str]) -> None:
         """Append ``(status, detail)`` entries of one run to the run log."""

@@ -16,13 +16,10 @@ replay ends as ``no_new_data``.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.batch import BatchResult, RunOptions, run_batch
-from ..session import checkpoint_root
 from ..sources import parse_flight_lines, stream_lines
 
 
@@ -37,19 +34,17 @@ def start_incremental(
     options: RunOptions = RunOptions(),
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
     results: list[BatchResult] | None = None,
 ) -> StreamingQuery:
     """Start a stream over ``input_dir`` (flight CSV files with a header line).
 
-    ``checkpoint_location`` defaults to a folder below the session's shared
-    checkpoint root keyed by ``base_path``.  ``results``, if given, collects
-    the outcome of every micro-batch (useful for tests and monitoring).
+    ``checkpoint_location`` defaults to a folder below ``base_path``, so a
+    later session resumes where this one stopped.  ``results``, if given,
+    collects the outcome of every micro-batch (useful for tests and
+    monitoring).
     """
-    flights = parse_flight_lines(stream_lines(spark, input_dir, max_files_per_trigger))
-    # Stable per base path (Python's hash() of a string changes between processes).
-    key = hashlib.sha1(base_path.encode("utf-8")).hexdigest()[:16]
-    location = checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/stream-{key}"
+    flights = parse_flight_lines(stream_lines(spark, input_dir))
+    location = checkpoint_location or f"{base_path.rstrip('/')}/stream"
 
     def each(batch: DataFrame, batch_id: int) -> None:
         outcome = run_batch(batch.sparkSession, base_path, batch, airlines, airports, options)
