@@ -134,11 +134,20 @@ def main() -> None:
         run_batch(spark, scratch_dir(spark, "bench"), i.flights, i.airlines, i.airports)
         return time.perf_counter() - t0
 
+    def control() -> float:
+        """A fixed job that depends on no table and no code of this repository: how fast the machine is just now."""
+        t0 = time.perf_counter()
+        spark.range(0, 20_000_000, 1, 8).selectExpr("id % 1000 AS k", "id * 3 AS v").groupBy("k").sum("v").write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    control()
     names = only or HEADLINE
     for name in names:  # JVM, JIT and codegen warm-up: every query once, untimed
         run(name)
     times = {}
+    controls = []
     for name in names:
+        controls.append(control())
         runs = [run(name) for _ in range(repeat)]
         times[name] = round(statistics.median(runs), 3)
     windows = {}
@@ -169,6 +178,9 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
     }
+    # Seconds of the control job between the queries, and each query in multiples of it.
+    out["control_sec"] = round(statistics.median(controls), 3)
+    out["relative"] = {k: round(v / out["control_sec"], 2) for k, v in times.items()}
     if scaling:
         out["scaling"] = scaling
     if windows:

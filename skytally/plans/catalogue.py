@@ -40,7 +40,7 @@ from ..sources import (
 )
 from ..state import StateStore
 from . import metrics as M
-from .batch import run_batch
+from .batch import LINE_LAYOUT, RunOptions, run_batch
 
 # Fixed parameters of the test queries.
 MARK = _dt.date(1999, 12, 31)        # split point of all incremental queries
@@ -203,9 +203,9 @@ def q_merge_reason_totals(spark, sf_dir):
 # -- sources and sinks ---------------------------------------------------------------
 
 def q_dictionary_last_wins(spark, sf_dir):
-    """Airport dictionary written as a text file in which the nations of
-    region 0 appear a second time, later, with a new name; read back."""
-    nation = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 4)
+    """All nations written as an airport dictionary in which those of region 0
+    appear a second time, later, with a new name; read back."""
+    nation = table(spark, sf_dir, "nation")
     first = nation.select(F.lit(0).alias("seq"), "n_nationkey", F.col("n_name").alias("name"))
     again = nation.where(F.col("n_regionkey") == 0).select(
         F.lit(1).alias("seq"), "n_nationkey", F.lower("n_name").alias("name"))
@@ -217,12 +217,9 @@ def q_dictionary_last_wins(spark, sf_dir):
 
 
 def q_dictionary_last_wins_airlines(spark, sf_dir):
-    """Airline dictionary (grows with the tables) written as text in which
-    every seventh supplier appears a second time, later, with a new name;
-    read back."""
-    # All airlines of the dictionary are written; the modulo only picks which
-    # of them get a second, overriding line (it does not subset the data).
-    supplier = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 3)
+    """All suppliers written as an airline dictionary in which every seventh
+    appears a second time, later, with a new name; read back."""
+    supplier = table(spark, sf_dir, "supplier")
     first = supplier.select(F.lit(0).alias("seq"), "s_suppkey", F.col("s_name").alias("name"))
     again = supplier.where(F.col("s_suppkey") % 7 == 0).select(
         F.lit(1).alias("seq"), "s_suppkey", F.lower("s_name").alias("name"))
@@ -278,8 +275,9 @@ def q_text_state_roundtrip(spark, sf_dir):
     folders, five-counter lines, mark file), imported, read back."""
     from ..sources import text_state as T
 
-    i = Inputs(spark, sf_dir)
-    counts = tally(i.clean())
+    store = StateStore(spark, scratch_dir(spark, "text-source"))
+    store.write_snapshot(tally(Inputs(spark, sf_dir).clean()), "counted")  # the flights are scanned once
+    counts = store.read_snapshot("counted")
     cache = scratch_dir(spark, "text-cache")
 
     def write(df, name):
@@ -358,6 +356,77 @@ def q_run_log(spark, sf_dir):
     return log.select(F.coalesce("seq", F.lit(0).cast("long")).alias("seq"), "status", "detail")
 
 
+def _written_inputs(spark, sf_dir, i: Inputs) -> tuple[str, str, str, str]:
+    """Paths of two flights folders (up to the mark, after it) and both dictionaries, as text."""
+    folder = scratch_dir(spark, "text-inputs")
+    d = F.col("flight_date")
+    for name, rows in (("first", i.flights.where(d <= date_lit(MARK))), ("second", i.flights.where(d > date_lit(MARK)))):
+        write_text_with_header(flight_lines(rows), f"{folder}/{name}", header="year,month,day,rest")
+    for name, rows in (("airlines", i.airlines), ("airports", i.airports)):
+        write_text_with_header(rows.select(F.concat_ws(",", "code", "name").alias("line")), f"{folder}/{name}", header="code,name")
+    return tuple(f"{folder}/{n}" for n in ("first", "second", "airlines", "airports"))
+
+
+def q_full_run_from_text(spark, sf_dir):
+    """The job as users start it: flights and dictionaries as text paths, two runs."""
+    first, second, airlines, airports = _written_inputs(spark, sf_dir, Inputs(spark, sf_dir))
+    base = scratch_dir(spark, "runs")
+    run_batch(spark, base, first, airlines, airports)
+    return stack_metrics(run_batch(spark, base, second, airlines, airports).metrics)
+
+
+def q_stream_two_arrivals(spark, sf_dir):
+    """The file stream over an inbox that gets two arrivals of several files each."""
+    from ..streaming import start_incremental
+
+    i = Inputs(spark, sf_dir)
+    base, inbox = scratch_dir(spark, "runs"), scratch_dir(spark, "inbox")
+    d = F.col("flight_date")
+    for rows in (i.flights.where(d <= date_lit(MARK)), i.flights.where(d > date_lit(MARK))):
+        lines = flight_lines(rows).repartition(3)
+        lines.select(F.col(lines.columns[0]).alias("line")).write.mode("append").option("header", True).option("sep", "\u001f") \
+            .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(inbox)
+        query = start_incremental(spark, inbox, i.airlines, i.airports, base)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return _no_batch(StateStore(spark, base).committed_state())
+
+
+def q_repeated_dictionary_codes(spark, sf_dir):
+    """Dictionaries given as frames in which every code occurs twice: the smallest name counts."""
+    i = Inputs(spark, sf_dir)
+    again = lambda d: d.unionByName(d.select("code", F.concat("name", F.lit(" (again)")).alias("name")))
+    return stack_metrics(run_batch(spark, scratch_dir(spark, "runs"), i.flights, again(i.airlines), again(i.airports)).metrics)
+
+
+#: The four rankings the other way round.
+REVERSED = RunOptions(airports_ascending=True, airlines_ascending=False, carriers_ascending=False, destinations_ascending=False)
+
+
+def q_full_run_reversed(spark, sf_dir):
+    """One run with all four sort directions other than the defaults."""
+    i = Inputs(spark, sf_dir)
+    return stack_metrics(run_batch(spark, scratch_dir(spark, "runs"), i.flights, i.airlines, i.airports, REVERSED).metrics)
+
+
+def q_metric_lines_all(spark, sf_dir):
+    """All metrics of a run exported as plain lines and read back: (metric, line)."""
+    i = Inputs(spark, sf_dir)
+    base = scratch_dir(spark, "runs")
+    result = run_batch(spark, base, i.flights, i.airlines, i.airports, RunOptions(export_lines=True))
+    store = StateStore(spark, base)
+    out = None
+    for name in LINE_LAYOUT:
+        lines = spark.read.text(store.lines_path(result.run_id, name)).select(F.lit(name).alias("metric"), F.col("value").alias("line"))
+        out = lines if out is None else out.unionByName(lines)
+    # a percentage is written as 12.5 here and may be written as 12.50 elsewhere
+    number = F.regexp_replace("line", "^.*,", "").cast("double") * 100
+    key = F.regexp_replace("line", ",[^,]*$", "")
+    percent = F.col("metric") == "delay_reason_percent"
+    return out.select("metric", F.when(percent, F.concat_ws(",", key, F.round(number).cast("long").cast("string"))).otherwise(F.col("line")).alias("line"))
+
+
 def q_full_run_metrics(spark, sf_dir):
     """M0: every metric of a two-run cycle, stacked as ``(metric, key, n)``
     rows so one frame carries them all (percentages x 100 as integers)."""
@@ -435,4 +504,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_ignores_uncommitted": q_publish_ignores_uncommitted,
     "run_log": q_run_log,
     "full_run_metrics": q_full_run_metrics,
+    "full_run_from_text": q_full_run_from_text,
+    "full_run_reversed": q_full_run_reversed,
+    "repeated_dictionary_codes": q_repeated_dictionary_codes,
+    "metric_lines_all": q_metric_lines_all,
+    "stream_two_arrivals": q_stream_two_arrivals,
 }
