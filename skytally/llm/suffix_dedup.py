@@ -446,18 +446,17 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, the text without its repeated strings (split UTF-8 sequences at the cuts are dropped)."""
     ship(docs.sparkSession)
+    names = docs.columns
+    inner = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(names)]  # theirs may clash with ours
 
     def run(batches):
         for batch in batches:
-            texts = []
-            for raw, spans, gone in zip(to_bytes(batch.column("text")).to_pylist(), batch.column("spans").to_pylist(), batch.column("gone").to_pylist()):
-                parts, removed, _ = kept_parts(raw, spans or [], gone)
-                texts.append(b"".join(parts).decode("utf-8", "ignore"))
             old = batch.column("text")
-            new = pa.array([None if not old[i].is_valid else x for i, x in enumerate(texts)], pa.string())
-            yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names)
+            texts = []
+            for raw, valid, spans, gone in zip(to_bytes(old).to_pylist(), old.is_valid().to_pylist(), batch.column("spans").to_pylist(), batch.column("gone").to_pylist()):
+                texts.append(b"".join(kept_parts(raw, spans or [], gone)[0]).decode("utf-8", "ignore") if valid else None)
+            new = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in inner], names)
 
-    names = docs.columns
-    extra = docs.select([F.col(f"`{c}`").alias(f"c{i}") if c not in ("doc_id", "text") else F.col(c) for i, c in enumerate(names)])
-    back = with_spans(extra).select([*(F.col(c if c in ("doc_id", "text") else f"c{i}").alias(c) for i, c in enumerate(names)), F.col("gone"), F.col("spans")])
-    return back.mapInArrow(run, docs.schema)
+    own = with_spans(docs.select([F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)]))
+    return own.select(*inner, "gone", "spans").mapInArrow(run, docs.schema)
