@@ -36,13 +36,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from .kneser_ney import counts_of_counts, discount_of, discounts
-from .shared import IS_SPACE, LOWER, bucket, buffer_of, combine, hash_spans, local_path, prefix_sums, ship, slices, word_spans, written
+from .shared import IS_SPACE, LOWER, bucket, buffer_of, combine, hash_spans, local_path, prefix_sums, release, ship, slices, word_spans, written
 
 SHARD_BYTES = 64 << 20
 LEAST_SHARDS = 64
 ID_BITS = 48
 END, BOS = np.uint64(1), np.uint64(2)
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 HEADER = 4  # 64-bit words before the arrays: kind, shard, entries, unused
 
 
@@ -235,10 +235,12 @@ def model_files(docs: DataFrame, min_count: int) -> tuple[str, dict]:
     texts = size[1]
     shards = 1 << (max(LEAST_SHARDS, (size[0] or 0) // SHARD_BYTES) - 1).bit_length()
     uni = written(unigrams(docs, shards), "lm-unigrams")
+    release(spark)
     total = uni.agg(F.sum("tokens"), F.sum("kinds")).first()
     tokens, kinds = total[0] or 0, total[1] or 0
     heavy = heavy_ids(uni, tokens, shards)
     pairs = written(bigrams(docs, shards, heavy, min_count), "lm-bigrams")
+    release(spark)
     sums = pairs.where("kind = 0").agg(*(F.sum(F.col("sums")[k]) for k in range(4))).first()
     d2 = discounts(*(x or 0 for x in sums))
 
@@ -249,6 +251,7 @@ def model_files(docs: DataFrame, min_count: int) -> tuple[str, dict]:
 
     cont = written(pairs.where("kind = 1").select("shard", "a", "b", "n").groupBy("shard").applyInArrow(
         merge, "shard long, a binary, n binary, sums array<long>"), "lm-contexts")
+    release(spark)
     s = [x or 0 for x in cont.agg(*(F.sum(F.col("sums")[k]) for k in range(6))).first()]
     d1 = discounts(*s[:4])
     over = s[4] - s[0] - s[1]  # words seen in three contexts or more
@@ -371,6 +374,7 @@ def lm_scores(docs: DataFrame, min_count: int = 2, folds: int = 7, held_out: int
     ship(spark)
     fold = F.pmod(bucket(), F.lit(folds)) == held_out
     folder, scalars = model_files(docs.where(~fold), min_count)
+    release(spark)
     names = hand_out(spark, folder)
     n_all, v = scalars["tokens"], scalars["kinds"]
 

@@ -11,6 +11,7 @@ the string ``[s, e)`` hashes to ``(P[e] - P[s]) * M**-s``.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 MULT = 0x9E3779B97F4A7C55 | 1
 MASK = (1 << 64) - 1
 MULT_INV = pow(MULT, -1, 1 << 64)
@@ -67,6 +68,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver drop plans that are done, so that Spark removes their shuffle files now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
