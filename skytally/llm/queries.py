@@ -107,3 +107,54 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
+
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+ORACLE["op8_jaccard_join"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(ws[k:k + 3], ' ') AS shingle
+  FROM (SELECT r, ws, unnest(range(1, greatest(1, len(ws) - 3) + 1)) AS k FROM d WHERE len(ws) > 0)
+), n AS MATERIALIZED (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), c AS (
+  SELECT a.r AS r, b.r AS o, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY 1, 2
+), l AS MATERIALIZED (
+  SELECT c.r, c.o FROM c JOIN n x ON x.r = c.r JOIN n y ON y.r = c.o WHERE 100 * common >= 85 * (x.n + y.n - common)
+), reach AS (
+  SELECT r, r AS o FROM d UNION SELECT reach.r, l.o FROM reach JOIN l ON l.r = reach.o
+), m AS (
+  SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.o GROUP BY reach.r
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d JOIN m USING (r) LEFT JOIN n USING (r)
+"""
+
+ORACLE["op10_suffix_dedup"] = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS MATERIALIZED (
+  SELECT r, doc_id, unnest(range(0, length(h) // 2 - 49)) AS pos,
+         hash(unnest(list_transform(range(0, length(h) // 2 - 49), lambda x: substr(h, 2 * x + 1, 100)))) AS str
+  FROM d WHERE length(h) >= 100
+), w AS (
+  SELECT str, min(doc_id) AS least FROM s GROUP BY str
+), g AS (
+  SELECT s.r, s.pos, coalesce(s.pos - lag(s.pos) OVER (PARTITION BY s.r ORDER BY s.pos) > 50, true) AS begins
+  FROM s JOIN w ON w.str = s.str WHERE w.least < s.doc_id
+), i AS (
+  SELECT r, pos, sum(CAST(begins AS INT)) OVER (PARTITION BY r ORDER BY pos) AS span FROM g
+), j AS (
+  SELECT r, min(pos) AS a, max(pos) + 50 AS b FROM i GROUP BY r, span
+), k AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM j
+), t AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS reach,
+         string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS front
+  FROM k JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(reach, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (r)
+"""
