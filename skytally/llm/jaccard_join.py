@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import IS_SPACE, LOWER, buffer_of, combine, hash_spans, mix, parts, prefix_sums, ship, slices, word_spans, written
+from .shared import IS_SPACE, LOWER, buffer_of, combine, hash_spans, mix, parts, prefix_sums, release, ship, slices, word_spans, written
 
 SHARD_BYTES = 64 << 20
 LEAST_SHARDS = 64
@@ -158,9 +158,13 @@ SETS = "ord long, key long, n long, node long, prefix array<long>, tokens binary
 
 
 def described(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
-    """Per row of ``docs`` (ord, key, text): size of the set, class, shared prefix shingles and, where there are any, the set."""
+    """Per row of ``docs`` (ord, key, text): size of the set, class, shared prefix shingles and, where there are any, the set.
+
+    A task gives prefix and set of a class once.
+    """
     def run(batches):
         maps = shared.value
+        given: set[int] = set()
         for batch in batches:
             for piece, raw in slices(batch):
                 s, d = shingle_sets(raw, width)
@@ -177,9 +181,15 @@ def described(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
                 total = np.zeros(len(s) + 1, np.uint64)
                 np.cumsum(mix(s + np.uint64(0x51ED270B)), out=total[1:])
                 node = mix(total[begin + n] - total[begin] + n.astype(np.uint64)).view(np.int64)
-                edge = np.append(0, np.cumsum(some))
-                prefix = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(s[pick].view(np.int64)))
-                tokens = [s[a:a + c].tobytes() if m else None for a, c, m in zip(begin.tolist(), n.tolist(), some.tolist())]
+                edge = np.append(0, np.cumsum(some)).tolist()
+                chosen = s[pick].view(np.int64)
+                prefix, tokens = [], []
+                for i, (x, a, c, m) in enumerate(zip(node.tolist(), begin.tolist(), n.tolist(), some.tolist())):
+                    new = m > 0 and x not in given
+                    given.update([x] * new)
+                    prefix.append(chosen[edge[i]:edge[i + 1]] if new else None)
+                    tokens.append(s[a:a + c].tobytes() if new else None)
+                prefix = pa.array(prefix, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([piece.column("ord"), piece.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64(), mask=n == 0), prefix, pa.array(tokens, pa.binary())],
                                                  ["ord", "key", "n", "node", "prefix", "tokens"])
 
@@ -311,14 +321,17 @@ def block_links(nodes: np.ndarray, side: np.ndarray, sets: list[np.ndarray], per
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """u, v: enough links between classes to connect each component."""
     spark = sets.sparkSession
-    active = written(sets.where("tokens IS NOT NULL").dropDuplicates(["node"]).select("node", "n", "prefix", "tokens"), "jaccard-active")
+    active = sets.where("tokens IS NOT NULL").select("node", "ord", "prefix", "tokens")
     tokens = active.select("node", F.explode("prefix").alias("token"))
     least = tokens.groupBy("token").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").select("token", "v")
     blocks = components(tokens.join(least, "token").select(F.col("node").alias("u"), "v"))
     blocks = written(blocks.withColumnRenamed("root", "block"), "jaccard-blocks")
     counts = blocks.groupBy("block").agg(F.count("*").alias("members")).withColumn("pieces", F.ceil(F.col("members") / BLOCK).cast("int"))
     buckets = max(parts(spark), blocks.count() // BLOCK)
-    rows = active.select("node", "tokens").join(blocks, "node").join(counts, "block")
+    # What to send where is settled before the sets themselves are moved: one row per class.
+    one_each = active.groupBy("node").agg(F.min("ord").alias("ord"))
+    plan = blocks.join(counts, "block").join(one_each, "node").select("node", "ord", "block", "pieces")
+    rows = active.select("node", "ord", "tokens").join(plan, ["node", "ord"])
     piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
     one = rows.where("pieces = 1").select(F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("task"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), "block", F.lit(0).alias("side"), "node", "tokens")
     many = (rows.where("pieces > 1").select("block", "node", "tokens", piece.alias("own"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
@@ -330,8 +343,9 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
         node, side, raw = t.column("node").to_numpy()[order], t.column("side").to_numpy()[order], t.column("tokens")
         found: list[tuple[int, int]] = []
         for _, a, b in cuts(block[order]):
-            sets = [np.frombuffer(raw[int(k)].as_py(), "<u8") for k in order[a:b]]
-            found += block_links(node[a:b], side[a:b], sets, percent)
+            _, once = np.unique(node[a:b], return_index=True)  # rows that repeat one another came with one id
+            sets = [np.frombuffer(raw[int(k)].as_py(), "<u8") for k in order[a:b][once]]
+            found += block_links(node[a:b][once], side[a:b][once], sets, percent)
         return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
     return one.unionByName(many).groupBy("task", "i", "j").applyInArrow(link, "u long, v long")
@@ -345,6 +359,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     shards = 1 << (max(LEAST_SHARDS, size // SHARD_BYTES) - 1).bit_length()
     bits = max(min(MOST_BITS, max(LEAST_BITS, (size // 4).bit_length())), shards.bit_length() + 7)
     shared = spark.sparkContext.broadcast(bitmaps(shingle_counts(docs, width, shards), shards, bits))
+    release(spark)
     sets = written(described(docs, width, percent, shared), "jaccard-sets")
     roots = components(links(sets, percent))
     classes = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("ord").alias("least"))
