@@ -122,9 +122,11 @@ class StateStore:
         return self.read_metric(c.run_id, name)
 
     def read_metric(self, run_id: str, name: str) -> DataFrame:
-        """A metric table of a run."""
+        """A metric table of a run.  A table without rows has no folder of its
+        own, so the run's folder is read and pruned to the metric's partition."""
         _known_metric(name)
-        return self.spark.read.schema(METRIC_SCHEMAS[name]).parquet(self.metrics_path(run_id, name))
+        rows = self.spark.read.schema(f"{METRIC_SCHEMAS[name]}, metric STRING").parquet(self.metrics_path(run_id))
+        return rows.where(F.col("metric") == name).drop("metric")
 
     def stale_runs(self, keep: int = 2) -> list[str]:
         """Folders of runs that no reader needs any more, for a retention job.
