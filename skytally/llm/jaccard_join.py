@@ -39,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import IS_SPACE, LOWER, buffer_of, combine, hash_spans, mix, parts, prefix_sums, release, ship, slices, word_spans, written
+from .shared import IS_SPACE, LOWER, buffer_of, combine, hash_spans, mix, parts, prefix_sums, release, ship, slices, trim, word_spans, written
 
 SHARD_BYTES = 64 << 20
 LEAST_SHARDS = 64
 LEAST_BITS, MOST_BITS = 16, 30
 FREQUENT = 32
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 BLOCK = 4096
 FAN = 8
 CHUNK = 1 << 14
@@ -122,6 +122,8 @@ def shingle_counts(docs: DataFrame, width: int, shards: int) -> DataFrame:
                     held, size = [], 0
         if size:
             yield emit()
+        del held
+        trim()
 
     return docs.select("text").mapInArrow(run, "shard long, low binary, n binary")
 
@@ -346,6 +348,7 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
             _, once = np.unique(node[a:b], return_index=True)  # rows that repeat one another came with one id
             sets = [np.frombuffer(raw[int(k)].as_py(), "<u8") for k in order[a:b][once]]
             found += block_links(node[a:b][once], side[a:b][once], sets, percent)
+        trim()
         return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
     return one.unionByName(many).groupBy("task", "i", "j").applyInArrow(link, "u long, v long")

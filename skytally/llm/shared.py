@@ -11,6 +11,7 @@ the string ``[s, e)`` hashes to ``(P[e] - P[s]) * M**-s``.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -39,13 +40,30 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def trim() -> None:
+    """Give freed memory back to the system, so that a worker holds no more than its present task needs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per context."""
+    """Make this package importable in the Python workers, once per context.
+
+    The archive is read by the driver alone; Spark hands it to the executors.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(ROWS_PER_BATCH) == "10000":  # Spark's default; whole texts make batches of that many rows large
+        spark.conf.set(ROWS_PER_BATCH, "1000")
     if getattr(sc, "_skytally_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -40,16 +40,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import buffer_of, hash_spans, prefix_sums, ship, slices, to_bytes, written
+from .shared import buffer_of, hash_spans, prefix_sums, release, ship, slices, to_bytes, trim, written
 
 LENGTH = 50
 GRAM = 20
 SHALLOW = 24
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 2 << 20
 LEAST_SHARDS = 64
 LEAST_BITS, MOST_BITS = 16, 30
 HOT_TEXT, HOT_ANCHOR = 1000, 100_000
 FLUSH = 1 << 20
+SLICE = 1 << 19
+PIECE_BYTES = 1 << 20
 LAST_ID = (1 << 63) - 1
 
 
@@ -114,7 +116,7 @@ def anchor_counts(docs: DataFrame, shards: int) -> DataFrame:
                                                pa.array([n[a:b].astype("<u4").tobytes() for _, a, b in rows], pa.binary())], ["shard", "h", "n"])
 
         for batch in batches:
-            for _, raw in slices(batch):
+            for _, raw in slices(batch, limit=SLICE):
                 _, _, _, _, _, h, d = anchors(raw)
                 order = np.lexsort((d, h))
                 h, d = h[order], d[order]
@@ -127,6 +129,8 @@ def anchor_counts(docs: DataFrame, shards: int) -> DataFrame:
                     held, size = [], 0
         if held:
             yield emit()
+        del held
+        trim()
 
     return docs.select("text").mapInArrow(run, "shard long, h binary, n binary")
 
@@ -136,7 +140,8 @@ def shared_anchors(counts: DataFrame, shards: int, bits: int, hot: int):
     step = bits - shards.bit_length() + 1  # a shard's part of the slots is 2**step
 
     def merge(t: pa.Table) -> pa.Table:
-        h, n = added_up(np.frombuffer(b"".join(t.column("h").to_pylist()), "<u8"), np.frombuffer(b"".join(t.column("n").to_pylist()), "<u4").astype(np.int64))
+        cat = lambda c, kind: np.frombuffer(buffer_of(to_bytes(t.column(c)))[0], kind)
+        h, n = added_up(cat("h", "<u8"), cat("n", "<u4").astype(np.int64))
         flags = np.zeros(1 << step, bool)
         flags[((h[n > 1] >> np.uint64(64 - bits)) & np.uint64((1 << step) - 1)).astype(np.int64)] = True
         return pa.table({"shard": t.column("shard").slice(0, 1), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary()),
@@ -173,7 +178,7 @@ def contexts(docs: DataFrame, shards: int, bits: int, shared) -> DataFrame:
     def run(batches):
         packed, hot = shared.value
         for batch in batches:
-            for piece, raw in slices(batch):
+            for piece, raw in slices(batch, limit=SLICE):
                 buf, offs, first, last, _, h, d = anchors(raw)
                 use = np.flatnonzero(marked(packed, bits, h) & ~np.isin(h, hot))
                 if not len(use):
@@ -289,15 +294,39 @@ SPANS = "doc_id long, key long, spans binary"
 
 
 def spans_of(t: pa.Table) -> pa.Table:
-    """One shard: the spans of each document whose strings also start in a smaller one."""
-    cat = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
+    """One shard: the spans of each document whose strings also start in a smaller one.
+
+    Anchors do not affect each other, so they are worked off in pieces of about ``PIECE_BYTES`` of contexts.
+    """
+    cat = lambda c, kind: np.frombuffer(buffer_of(to_bytes(t.column(c)))[0], kind)
+    counts = lambda c, width: np.diff(buffer_of(to_bytes(t.column(c)))[1]) // width
     h, size, buf, pos = cat("h", "<u8"), cat("size", np.uint8).astype(np.int64), cat("text", np.uint8), cat("pos", "<u4").astype(np.int64)
     ids, keys = cat("ids", "<i8"), cat("keys", "<i8")
-    per = [len(x) // 4 for x in t.column("doc").to_pylist()]
-    known = np.array([len(x) // 8 for x in t.column("ids").to_pylist()])
+    per, known = counts("doc", 4), counts("ids", 8)
     doc = cat("doc", "<u4").astype(np.int64) + np.repeat(np.cumsum(known) - known, per)
     begin = np.cumsum(size) - size
-    own = ids[doc]
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    after = np.cumsum(size[order])
+    groups = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h)) if len(h) else np.zeros(1, np.int64)
+    found, at = [], 0
+    while at < len(h):
+        reach = int(np.searchsorted(after, (after[at - 1] if at else 0) + PIECE_BYTES, "right"))
+        to = int(groups[max(np.searchsorted(groups, reach, "right") - 1, np.searchsorted(groups, at, "right"))])
+        some = order[at:to]
+        d, a, b = piece_spans(h[at:to], size[some], gathered(buf, begin[some], size[some]), ids[doc[some]], pos[some])
+        found.append((doc[some[d]], a, b))
+        at = to
+    d, a, b = (np.concatenate(c) for c in zip(*found)) if found else (doc, pos, pos)
+    out = packed_spans(ids[d], keys[d], a, b)
+    del found, order, after, h, size, buf, pos
+    trim()
+    return out
+
+
+def piece_spans(h: np.ndarray, size: np.ndarray, buf: np.ndarray, own: np.ndarray, pos: np.ndarray):
+    """Contexts of some anchors (hash, length, bytes, document id, position): (context, start, end) of the strings that a smaller document holds."""
+    begin = np.cumsum(size) - size
     # equal contexts, and the smallest id of each
     _, first, ctx = np.unique(hash_spans(prefix_sums(buf), begin, begin + size), return_index=True, return_inverse=True)
     least = np.full(len(first), LAST_ID)
@@ -321,7 +350,7 @@ def spans_of(t: pa.Table) -> pa.Table:
         large[multi] = np.maximum.reduceat(least_at, base[multi])
     whole = np.flatnonzero(large[ctx] < own)
     part = np.flatnonzero((large[ctx] >= own) & (small[ctx] < own))
-    d, a, b = doc[whole], pos[whole], pos[whole] + size[whole]
+    d, a, b = whole, pos[whole], pos[whole] + size[whole]
     if len(part):
         n = length[ctx[part]]
         o = np.repeat(part, n)
@@ -330,8 +359,8 @@ def spans_of(t: pa.Table) -> pa.Table:
         o, k = o[gone], k[gone]
         new = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (k[1:] != k[:-1] + 1))) if len(o) else np.zeros(0, np.int64)
         end = np.append(new[1:], len(o)) - 1 if len(o) else new
-        d, a, b = np.concatenate([d, doc[o[new]]]), np.concatenate([a, pos[o[new]] + k[new]]), np.concatenate([b, pos[o[end]] + k[end] + LENGTH])
-    return packed_spans(ids[d], keys[d], a, b)
+        d, a, b = np.concatenate([d, o[new]]), np.concatenate([a, pos[o[new]] + k[new]]), np.concatenate([b, pos[o[end]] + k[end] + LENGTH])
+    return d, a, b
 
 
 def packed_spans(ids: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
@@ -394,11 +423,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     bits = min(MOST_BITS, max(LEAST_BITS, (size // 4).bit_length()))
     bits = max(bits, shards.bit_length() + 2)
     packed, hot = shared_anchors(anchor_counts(live, shards), shards, bits, max(HOT_ANCHOR, size >> 26))
+    release(spark)
     shared = spark.sparkContext.broadcast((packed, hot))
     found = contexts(live, shards, bits, shared).groupBy("shard").applyInArrow(spans_of, SPANS)
     if len(hot):
         found = found.unionByName(hot_spans(live, shared))
-    return written(found, "suffix-spans")
+    out = written(found, "suffix-spans")
+    release(spark)
+    return out
 
 
 def kept_parts(raw: bytes, spans: list[bytes], gone: bool) -> tuple[list[bytes], int, int]:
