@@ -8,14 +8,14 @@ Tokens are lower-cased words and one end mark per text, known by 48-bit hashes.
    a shard's share of all tokens are spread over the shards by the whole
    bigram, so that no shard holds a frequent word's successors alone.
 3. Discounts come from the counts of counts over all bigrams; lower orders use
-   the number of distinct contexts of a word (from all bigrams).  Bigrams seen
-   fewer than ``min_count`` times are not stored; their mass goes to the
-   back-off weight, so the probabilities still add up to one.
+   the number of distinct contexts of a word (from all bigrams).  All bigrams
+   are stored; with a ``min_count`` above one, rarer ones are not, and their mass
+   goes to the back-off weight, so the probabilities still add up to one.
 4. The model is written by Spark tasks as raw shard files of sorted hash
    arrays (header, keys, values) to the shared folder, handed to every machine
    with ``addFile``, and memory-mapped there by the workers: pages are shared
-   and loaded as needed.  It grows with the corpus; ``min_count`` and the disk of a
-   machine bound it, never the heap.
+   and loaded as needed.  It grows with the corpus; the disk of a machine
+   bounds it, never the heap.
 
 Shards grow with the bytes of the training texts (``SHARD_BYTES`` each), so a
 group stays of bounded size at every scale.
@@ -365,7 +365,7 @@ class Model:
 _MODELS: dict[str, Model] = {}
 
 
-def lm_scores(docs: DataFrame, min_count: int = 2, folds: int = 7, held_out: int = 2) -> DataFrame:
+def lm_scores(docs: DataFrame, min_count: int = 1, folds: int = 7, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Learns from the rows whose fold (crc32 of the id as text, modulo ``folds``) is not ``held_out``.

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import text_cases as T
-from skytally.llm import lm_scores, quality_classifier, quality_rules, toxicity
+from skytally.llm import lm_scores, quality_classifier, quality_rules, queries, toxicity
 from skytally.llm.kneser_ney import discounts
 from skytally.llm.learning import sigmoid
 
@@ -107,6 +107,20 @@ def test_language_model_equals_brute_force(spark, min_count):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 * abs(b[5]) and abs(a[6] - b[6]) < 1e-3 + 1e-4 * abs(b[6]), (a, b)
 
 
+def test_registered_language_model_keeps_bigrams_seen_once(spark, tmp_path):
+    """The query as registered: scores of held-out rows from all bigrams, most of them seen once."""
+    r = random.Random(6)
+    docs = [(k, " ".join(f"w{int(300 * r.random() ** 2)}" for _ in range(60))) for k in range(150)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = [_tokens(t) for i, t in docs if not held(i)]
+    pairs = Counter(p for t in train for p in zip([b"<s> ", *t], t))
+    assert sum(n == 1 for n in pairs.values()) > len(pairs) / 2
+    score, _ = _kneser_ney(train, 1)
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: x.score for x in queries.op9_lm_scores(spark, str(tmp_path)).collect()}
+    assert all(abs(got[i] - score(_tokens(t))) < 1e-3 + 1e-4 * abs(got[i]) for i, t in docs)
+
+
 def test_language_model_without_rows(spark):
     assert lm_scores.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
