@@ -43,6 +43,21 @@ def test_perplexity_bands_reject_per_language(spark):
     assert not got[501].kept and not got[501].base_failed and got[502].kept  # alone in its language
 
 
+def test_copies_do_not_set_the_bands(spark):
+    """A third of all rows are copies of one plain text: verdicts and perplexities are those without the copies."""
+    r = random.Random(9)
+    text = lambda letters, n: " ".join("".join(r.choice(letters) for _ in range(6)) for _ in range(n))
+    rows = [(k, text("abcdefgh" + "ijkl"[:k % 5], 90), "en" if k % 4 else "fr") for k in range(400)]
+    rows += [(1000 + k, text("abcdefghxyz0123", 90), "en") for k in range(6)]
+    copy = text("abc", 90)
+    schema = "doc_id long, text string, lang string"
+    run = lambda x: {d.doc_id: (d.kept, round(d.perplexity, 6)) for d in quality_rules.quality_rules(spark.createDataFrame(x, schema).repartition(5)).collect()}
+    once, many = run([*rows, (2000, copy, "en")]), run([*rows, *((2000 + k, copy, "en") for k in range(203))])
+    assert {k: many[k] for k in once} == once
+    assert len({many[2000 + k] for k in range(203)}) == 1
+    assert not any(many[1000 + k][0] for k in range(6)) and sum(many[k][0] for k in range(400)) > 380
+
+
 def test_character_model_sums_to_one_and_backs_off():
     r = np.random.default_rng(0)
     codes, counts = np.unique(r.integers(0, 8, 4000) << 14 | r.integers(0, 8, 4000) << 7 | r.integers(0, 6, 4000), return_counts=True)
