@@ -20,9 +20,12 @@ all occurrences of a string meet at one anchor.
 4. The found spans return to their documents, where they are united.
 
 Hot keys.  Texts with more than ``HOT_TEXT`` exact copies are known by a bounded
-list (at most 2**20 of them) and go as a whole, apart from the first.  Anchors in
-more than ``HOT_ANCHOR`` documents (or 2**-22 of all anchors, a bounded list) are not gathered
-at all: their positions are counted by Spark one by one, as hashes of their strings.
+list (at most 2**20 of them) and go as a whole, apart from the first.  Anchors at
+more than ``HOT_ANCHOR`` places (or 2**-22 of all anchors, a bounded list), and those at more than
+``HOT_PLACES`` that come ``PERIODIC`` times or more in each document that has them, as in runs of one
+byte, are not gathered at all: Spark finds the smallest document of each of their strings by its
+hash.  A document gives each string once with its places, as (first, step, number), so a run of any
+length is a few numbers.
 
 Edge cases: null or empty text has nothing to remove; null ids come after all
 others and are not smaller than one another; rows with equal ids do not affect
@@ -49,9 +52,12 @@ SHARD_BYTES = 2 << 20
 LEAST_SHARDS = 64
 LEAST_BITS, MOST_BITS = 16, 30
 HOT_TEXT, HOT_ANCHOR = 1000, 100_000
+HOT_PLACES, PERIODIC = 10_000, 4
 FLUSH = 1 << 20
 SLICE = 1 << 19
 PIECE_BYTES = 1 << 20
+EMIT_BYTES = 4 << 20
+EMIT_PLACES = 1 << 18
 LAST_ID = (1 << 63) - 1
 
 
@@ -97,23 +103,34 @@ def cuts(shard: np.ndarray):
     return zip(shard[at].tolist(), at.tolist(), [*at[1:].tolist(), len(shard)])
 
 
-def added_up(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def added_up(h: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct hashes in order, and the sums of each of ``counts`` for them."""
     order = np.argsort(h)
-    h, n = h[order], n[order]
+    h = h[order]
     at = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-    return h[at], np.add.reduceat(n, at) if len(at) else n
+    return h[at], *(np.add.reduceat(n[order], at) if len(at) else n for n in counts)
+
+
+def bounded(weight: np.ndarray, limit: int):
+    """(start, end) of consecutive pieces with a weight of about ``limit`` at most."""
+    after = np.cumsum(weight)
+    at = 0
+    while at < len(weight):
+        to = max(at + 1, int(np.searchsorted(after, (after[at - 1] if at else 0) + limit, "right")))
+        yield at, to
+        at = to
 
 
 def anchor_counts(docs: DataFrame, shards: int) -> DataFrame:
-    """Packed rows: shard, hashes and the number of documents of each, as far as a task knows."""
+    """Packed rows: shard, hashes, the number of documents of each and of places beyond one a document, as far as a task knows."""
     def run(batches):
         held, size = [], 0
 
         def emit():
-            h, n = added_up(*(np.concatenate(c) for c in zip(*held)))
+            h, n, more = added_up(*(np.concatenate(c) for c in zip(*held)))
             rows = [*cuts(shard_of(h, shards))]
             return pa.RecordBatch.from_arrays([pa.array([s for s, _, _ in rows], pa.int64()), pa.array([h[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                                               pa.array([n[a:b].astype("<u4").tobytes() for _, a, b in rows], pa.binary())], ["shard", "h", "n"])
+                                               *(pa.array([x[a:b].astype("<u4").tobytes() for _, a, b in rows], pa.binary()) for x in (n, more))], ["shard", "h", "n", "more"])
 
         for batch in batches:
             for _, raw in slices(batch, limit=SLICE):
@@ -121,8 +138,8 @@ def anchor_counts(docs: DataFrame, shards: int) -> DataFrame:
                 order = np.lexsort((d, h))
                 h, d = h[order], d[order]
                 once = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])) if len(h) else np.zeros(0, bool)
-                h, n = added_up(h[once], np.ones(int(once.sum()), np.int64))
-                held.append((h, n))
+                h, n, more = added_up(h, once.astype(np.int64), (~once).astype(np.int64))
+                held.append((h, n, more))
                 size += len(h)
                 if size > FLUSH:
                     yield emit()
@@ -132,20 +149,22 @@ def anchor_counts(docs: DataFrame, shards: int) -> DataFrame:
         del held
         trim()
 
-    return docs.select("text").mapInArrow(run, "shard long, h binary, n binary")
+    return docs.select("text").mapInArrow(run, "shard long, h binary, n binary, more binary")
 
 
 def shared_anchors(counts: DataFrame, shards: int, bits: int, hot: int):
-    """(bitmap of the anchors in two documents or more, hot anchors)."""
+    """(bitmap of the anchors in two documents or more, hot anchors: those of them at too many places)."""
     step = bits - shards.bit_length() + 1  # a shard's part of the slots is 2**step
 
     def merge(t: pa.Table) -> pa.Table:
         cat = lambda c, kind: np.frombuffer(buffer_of(to_bytes(t.column(c)))[0], kind)
-        h, n = added_up(cat("h", "<u8"), cat("n", "<u4").astype(np.int64))
+        h, n, more = added_up(cat("h", "<u8"), cat("n", "<u4").astype(np.int64), cat("more", "<u4").astype(np.int64))
+        places = n + more
+        many = (n > 1) & ((places > hot) | (places > max(HOT_PLACES, hot // 10)) & (places >= PERIODIC * n))
         flags = np.zeros(1 << step, bool)
         flags[((h[n > 1] >> np.uint64(64 - bits)) & np.uint64((1 << step) - 1)).astype(np.int64)] = True
         return pa.table({"shard": t.column("shard").slice(0, 1), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary()),
-                         "hot": pa.array([h[n > hot].view(np.int64).tolist()], pa.list_(pa.int64()))})
+                         "hot": pa.array([h[many].view(np.int64).tolist()], pa.list_(pa.int64()))})
 
     rows = written(counts.groupBy("shard").applyInArrow(merge, "shard long, bits binary, hot array<long>"), "suffix-anchors")
     packed = np.zeros((1 << bits) // 8, np.uint8)
@@ -173,6 +192,17 @@ def gathered(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return buf[np.arange(total) + np.repeat(start - (ends - size), size)]
 
 
+def packed_contexts(buf, offs, ids, keys, h, first, size, d, shards: int) -> pa.RecordBatch:
+    """A row per shard: contexts in the order of their anchors' hashes."""
+    out: dict[str, list] = {k: [] for k in ("shard", "h", "size", "text", "doc", "pos", "ids", "keys")}
+    for s, a, b in cuts(shard_of(h, shards)):
+        some, number = np.unique(d[a:b], return_inverse=True)
+        for name, x in (("shard", s), ("h", h[a:b].tobytes()), ("size", size[a:b].astype(np.uint8).tobytes()), ("text", gathered(buf, first[a:b], size[a:b]).tobytes()),
+                        ("doc", number.astype("<u4").tobytes()), ("pos", (first[a:b] - offs[d[a:b]]).astype("<u4").tobytes()), ("ids", ids[some].tobytes()), ("keys", keys[some].tobytes())):
+            out[name].append(x)
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if k == "shard" else pa.binary()) for k, v in out.items()], list(out))
+
+
 def contexts(docs: DataFrame, shards: int, bits: int, shared) -> DataFrame:
     """Packed rows per shard: the contexts of the shared anchors, with document and position."""
     def run(batches):
@@ -187,13 +217,8 @@ def contexts(docs: DataFrame, shards: int, bits: int, shared) -> DataFrame:
                 ids, keys = piece.column("ord").to_numpy(), piece.column("key").to_numpy()
                 h, first, d = h[use], first[use], d[use]
                 size = last[use] - first + LENGTH
-                out: dict[str, list] = {k: [] for k in ("shard", "h", "size", "text", "doc", "pos", "ids", "keys")}
-                for s, a, b in cuts(shard_of(h, shards)):
-                    some, number = np.unique(d[a:b], return_inverse=True)
-                    for name, x in (("shard", s), ("h", h[a:b].tobytes()), ("size", size[a:b].astype(np.uint8).tobytes()), ("text", gathered(buf, first[a:b], size[a:b]).tobytes()),
-                                    ("doc", number.astype("<u4").tobytes()), ("pos", (first[a:b] - offs[d[a:b]]).astype("<u4").tobytes()), ("ids", ids[some].tobytes()), ("keys", keys[some].tobytes())):
-                        out[name].append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if k == "shard" else pa.binary()) for k, v in out.items()], list(out))
+                for at, to in bounded(size, EMIT_BYTES):
+                    yield packed_contexts(buf, offs, ids, keys, h[at:to], first[at:to], size[at:to], d[at:to], shards)
 
     return docs.select("ord", "key", "text").mapInArrow(run, CONTEXTS)
 
@@ -372,31 +397,67 @@ def packed_spans(ids: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray
                      "spans": pa.array([pair[x:y].tobytes() for x, y in zip(new, end)], pa.binary())})
 
 
-def hot_spans(docs: DataFrame, shared) -> DataFrame:
-    """The same for the hot anchors: Spark finds the smallest id of every string, by its hash."""
+def placed(doc: np.ndarray, s: np.ndarray, at: np.ndarray):
+    """(document, string, places) of each string of each document; places are packed (first, step, number) of evenly spaced ones."""
+    order = np.lexsort((at, s, doc))
+    doc, s, at = doc[order], s[order], at[order]
+    new = np.append(True, (doc[1:] != doc[:-1]) | (s[1:] != s[:-1]))
+    gap = np.append(0, at[1:] - at[:-1])
+    turn = new.copy()
+    turn[2:] |= ~new[1:-1] & (gap[2:] != gap[1:-1])
+    first = np.flatnonzero(turn)
+    number = np.diff(np.append(first, len(at)))
+    step = np.where(number > 1, gap[np.minimum(first + 1, len(at) - 1)], 1)
+    head = np.flatnonzero(new)
+    ends = np.append(np.searchsorted(first, head), len(first)).astype("<i4") * 12
+    data = np.stack([at[first], step, number], 1).astype("<u4")
+    return doc[head], s[head], pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def covered(places: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the bytes that the strings at packed places cover; close ones are one span."""
+    buf, ends = buffer_of(to_bytes(places))
+    first, step, number = buf.view("<u4").reshape(-1, 3).astype(np.int64).T
+    row = np.repeat(np.arange(len(places)), np.diff(ends) // 12)
+    times = np.where(step <= LENGTH, 1, number)
+    o = np.repeat(np.arange(len(row)), times)
+    start = first[o] + step[o] * (np.arange(len(o)) - np.repeat(np.cumsum(times) - times, times))
+    return row[o], start, start + LENGTH + np.where(times == 1, step * (number - 1), 0)[o]
+
+
+def hot_strings(docs: DataFrame, shared) -> DataFrame:
+    """The strings of the hot anchors by their hash, once for each document and piece of it, with their places."""
     def run(batches):
         _, hot = shared.value
         for batch in batches:
-            for piece, raw in slices(batch, limit=1 << 20):
+            for piece, raw in slices(batch, limit=SLICE):
                 buf, offs, first, last, _, h, d = anchors(raw)
                 use = np.flatnonzero(np.isin(h, hot))
-                n = last[use] - first[use] + 1
-                o = np.repeat(use, n)
-                at = first[o] + np.arange(len(o)) - np.repeat(np.cumsum(n) - n, n)
-                if len(at):
-                    s = hash_spans(prefix_sums(buf), at, at + LENGTH)
-                    ids, keys = piece.column("ord").to_numpy(), piece.column("key").to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[d[o]]), pa.array(keys[d[o]]), pa.array(at - offs[d[o]]), pa.array(s.view(np.int64))], ["doc_id", "key", "pos", "s"])
+                if not len(use):
+                    continue
+                first, d, n = first[use], d[use], last[use] - first[use] + 1
+                sums = prefix_sums(buf)
+                ids, keys = piece.column("ord").to_numpy(), piece.column("key").to_numpy()
+                for a, b in bounded(n, EMIT_PLACES):
+                    o = np.repeat(np.arange(a, b), n[a:b])
+                    at = first[o] + np.arange(len(o)) - np.repeat(np.cumsum(n[a:b]) - n[a:b], n[a:b])
+                    doc, s, places = placed(d[o], hash_spans(sums, at, at + LENGTH), at - offs[d[o]])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(keys[doc]), pa.array(s.view(np.int64)), places], ["doc_id", "key", "s", "places"])
 
+    return docs.select("ord", "key", "text").mapInArrow(run, "doc_id long, key long, s long, places binary")
+
+
+def hot_spans(docs: DataFrame, shared) -> DataFrame:
+    """The same for the hot anchors: Spark finds the smallest id of every string, by its hash."""
     def pack(batches):
         for batch in batches:
-            pos = batch.column("pos").to_numpy()
-            t = packed_spans(batch.column("doc_id").to_numpy(), batch.column("key").to_numpy(), pos, pos + LENGTH)
+            row, a, b = covered(batch.column("places"))
+            t = packed_spans(batch.column("doc_id").to_numpy()[row], batch.column("key").to_numpy()[row], a, b)
             yield from t.to_batches()
 
-    rows = docs.select("ord", "key", "text").mapInArrow(run, "doc_id long, key long, pos long, s long")
+    rows = written(hot_strings(docs, shared), "suffix-hot-strings")
     least = rows.groupBy("s").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "s").where("least < doc_id").select("doc_id", "key", "pos").mapInArrow(pack, SPANS)
+    return rows.join(least, "s").where("least < doc_id").select("doc_id", "key", "places").mapInArrow(pack, SPANS)
 
 
 # -- the whole -----------------------------------------------------------------------------

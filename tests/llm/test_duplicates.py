@@ -112,6 +112,53 @@ def test_very_long_texts(spark):
     assert (got[3].n_removed, got[3].n_spans) == (4000, 1)
 
 
+def test_long_runs_of_few_characters(spark):
+    """Texts of megabytes with one anchor: it is hot in two documents, and a run is a few numbers, not 50 bytes a place."""
+    docs = [(1, "x" * 3_000_000), (2, "head" + "x" * 4_000_000 + "tail"), (3, "ab " * 700_000), (4, "no" + "ab " * 500_000 + "ab"), (5, "-" * 2_000_000)]
+    df = S.tagged(T.frame(spark, docs).select("doc_id", "text"))
+    shards, bits = 64, 20
+    packed, hot = S.shared_anchors(S.anchor_counts(df, shards), shards, bits, S.HOT_ANCHOR)
+    shared = spark.sparkContext.broadcast((packed, hot))
+    assert len(hot) >= 2
+    assert sum(len(r.text) for r in S.contexts(df, shards, bits, shared).collect()) < 1_000_000
+    rows = S.hot_strings(df, shared).collect()
+    assert len(rows) < 500 and sum(len(r.places) for r in rows) < 50_000
+    got = {r.doc_id: r for r in S.suffix_dedup(T.frame(spark, docs)).collect()}
+    assert [got[k].n_removed for k in (1, 3, 5)] == [0, 0, 0]
+    assert (got[2].n_removed, got[2].n_spans, got[2].kept_sha256) == (4_000_000, 1, T.sha("headtail"))
+    assert (got[4].n_removed, got[4].n_spans, got[4].kept_sha256) == (1_500_002, 1, T.sha("no"))
+
+
+def test_places_of_strings():
+    r = np.random.default_rng(8)
+    at = np.unique(np.concatenate([np.arange(40, 400), np.arange(1000, 3000, 3), np.arange(5000, 9000, 77), r.integers(10_000, 90_000, 500)]))
+    doc, s = r.integers(0, 2, len(at)), np.where(at < 1000, 7, at % 3 + 10).astype(np.uint64)
+    doc[at < 9000] = 1
+    d, t, places = S.placed(doc, s, at)
+    assert len(set(zip(d.tolist(), t.tolist()))) == len(d) == len(places)
+    assert len(places[[*zip(d, t)].index((1, 7))].as_py()) == 12
+    row, a, b = S.covered(places)
+    for k in range(len(d)):
+        own, got = np.zeros(100_000, bool), np.zeros(100_000, bool)
+        for x in at[(doc == d[k]) & (s == t[k])]:
+            own[x:x + S.LENGTH] = True
+        for x, y in zip(a[row == k], b[row == k]):
+            got[x:y] = True
+        assert (own == got).all()
+
+
+@pytest.mark.parametrize("places", [2, 40])
+def test_periodic_anchors_give_the_same_result(spark, monkeypatch, places):
+    monkeypatch.setattr(S, "HOT_PLACES", places)
+    monkeypatch.setattr(S, "HOT_ANCHOR", 10 * places)
+    docs = _dedup_docs() + [(800, "ab" * 300 + "c" + "x" * 200), (801, "q" + "ab" * 200 + "x" * 90 + "y" + "x" * 120)]
+    want = []
+    for i, b, gone in T.kept_bytes(docs):
+        left = bytes(np.frombuffer(b, np.uint8)[~gone])
+        want.append((i, len(b), int(gone.sum()), int((gone & ~np.append(False, gone)[:-1]).sum()), T.sha(left)))
+    T.same(S.suffix_dedup(T.frame(spark, docs)).collect(), want)
+
+
 def test_deep_shallow_sorts_suffixes():
     r = np.random.default_rng(3)
     buf = r.integers(97, 99, 3000).astype(np.uint8)
