@@ -24,9 +24,9 @@ for its own text only; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import unicodedata
 import zlib
-from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -37,22 +37,117 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from tokenizers import Tokenizer
 
-from .shared import ship, slices, written
+from .shared import IS_SPACE, hash_spans, prefix_sums, ship, slices, written
 
 LIMIT = 4096
 END = 1
 LARGE = 8          # lengths over limit / LARGE are large
 GROUPINGS = (6, 12, 24, 48)  # numbers of groups that are tried; the plan with the fewest sequences counts
-WINDOW = 1 << 20   # code points of a text that are tokenised at a time
-CACHED = 64        # longest white-space part that is kept with its ids
-CACHE_SIZE = 1 << 19
+WINDOW = 1 << 20   # bytes or code points that are tokenised at a time
+STORED = 1 << 21   # segments that a worker keeps
+#: Fixed value: the pre-tokenizer pattern that ``segments`` is made for.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 
 
 # -- tokens -------------------------------------------------------------------------
 
+#: Kinds of bytes: 0 white space, 1 letter, 2 digit, 3 other ASCII, 4 part of a longer character.
+KIND = np.full(256, 3, np.uint8)
+KIND[IS_SPACE] = 0
+KIND[97:123], KIND[48:58], KIND[128:] = 1, 2, 4
+APOSTROPHE = 39
+
+
+def segments(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of the parts of (lower-case) texts that no match of the pattern goes beyond.
+
+    White space parts them, and a change between ASCII letters, digits and others; not behind an
+    apostrophe, which may take letters along, and not beside longer characters, whose kind is unknown here.
+    """
+    kind = KIND[buf]
+    edge = np.ones(len(buf) + 1, bool)
+    a, b = kind[:-1], kind[1:]
+    space = (a == 0) | (b == 0)
+    edge[1:-1] = (a != b) & (space | ((a != 4) & (b != 4) & ~((buf[:-1] == APOSTROPHE) & (b == 1))))
+    edge[offs[:-1][np.diff(offs) > 0]] = True
+    at = np.flatnonzero(edge)
+    start, end = at[:-1], at[1:]
+    keep = kind[start] != 0 if len(start) else np.zeros(0, bool)
+    start, end = start[keep], end[keep]
+    return start, end, np.searchsorted(offs, start, "right") - 1
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after another."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
+class Store:
+    """Segments and their ids in flat arrays, found by hash and compared byte by byte; emptied when it holds ``STORED``."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self):
+        self.keys = [np.zeros(0, np.uint64)] * 2  # sorted hashes: all but the newest, the newest
+        self.rows = [np.zeros(0, np.int64)] * 2   # and the row of each
+        self.n = 0
+        self.text, self.ids = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros((2, 1 << 12), np.int64)  # per row: where its text and its ids end
+        self.starts = np.zeros((2, 1 << 12), np.int64)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if a.shape[-1] >= n else np.concatenate([a, np.zeros((*a.shape[:-1], max(n, a.shape[-1]) - a.shape[-1] + n), a.dtype)], axis=-1)
+
+    def find(self, keys: np.ndarray, buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Row of each of the segments (sorted hashes, and where their bytes lie); -1 where there is none."""
+        row = np.full(len(keys), -1, np.int64)
+        for own, rows in zip(self.keys, self.rows):
+            if len(own):
+                i = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+                hit = np.flatnonzero(own[i] == keys)
+                row[hit] = rows[i[hit]]
+        hit = np.flatnonzero(row >= 0)
+        begin, held = self.starts[0, row[hit]], self.ends[0, row[hit]] - self.starts[0, row[hit]]
+        same = held == size[hit]
+        some = hit[same]
+        if len(some):
+            differs = buf[ranges(start[some], size[some])] != self.text[ranges(begin[same], size[some])]
+            wrong = np.add.reduceat(differs, np.cumsum(size[some]) - size[some]) > 0
+            row[some[wrong]] = -1
+        row[hit[~same]] = -1
+        return row
+
+    def add(self, keys: np.ndarray, texts: list[bytes], ids: list[list[int]]) -> np.ndarray:
+        """Rows of new segments, whose hashes are sorted."""
+        n, more = self.n, len(keys)
+        self.starts, self.ends = self._room(self.starts, n + more), self._room(self.ends, n + more)
+        rows = np.arange(n, n + more)
+        for k, (name, flat, sizes) in enumerate((("text", np.frombuffer(b"".join(texts), np.uint8), list(map(len, texts))),
+                                                 ("ids", np.array([x for i in ids for x in i], np.uint32), list(map(len, ids))))):
+            at = int(self.ends[k, n - 1]) if n else 0
+            held = self._room(getattr(self, name), at + len(flat))
+            held[at:at + len(flat)] = flat
+            setattr(self, name, held)
+            self.ends[k, rows] = at + np.cumsum(sizes)
+            self.starts[k, rows] = self.ends[k, rows] - sizes
+        self.n += more
+        level = 1 if len(self.keys[1]) + more < max(1 << 14, len(self.keys[0]) // 8) else 0
+        merged = [np.concatenate([*x[level:], new]) for x, new in ((self.keys, keys), (self.rows, rows))]
+        order = np.argsort(merged[0], kind="stable")
+        self.keys[level], self.rows[level] = (x[order] for x in merged)
+        if not level:
+            self.keys[1], self.rows[1] = self.keys[1][:0], self.rows[1][:0]
+        return rows
+
+
 class Encoder:
-    """Ids of texts as the tokenizers library gives them, its pieces kept per white-space part.
+    """Ids of texts as the tokenizers library gives them; each segment is encoded once per worker.
 
     Works for files whose normalizer is NFC, white space to a space and lower case, and whose
     pre-tokenizer drops white space; others are encoded by the library text by text.
@@ -61,10 +156,6 @@ class Encoder:
     _kept: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str):
-        import json
-
-        from tokenizers import Tokenizer
-
         self.library = Tokenizer.from_file(path)
         with open(path) as f:
             spec = json.load(f)
@@ -73,14 +164,14 @@ class Encoder:
         added = spec.get("added_tokens") or []
         self.parts = (steps == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in pre] == ["Split", "ByteLevel"]
                       and pre[0]["behavior"] == "Removed" and pre[0]["invert"] and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"]
+                      and pre[0]["pattern"].get("Regex") == PATTERN
                       and not any(a["normalized"] or a["single_word"] or a["lstrip"] or a["rstrip"] for a in added))
-        self.cache: dict[str, list[int]] = {}
-        if self.parts:
-            self.pattern = regex.compile(pre[0]["pattern"]["Regex"])
-            self.special = {a["content"]: a["id"] for a in added}
-            self.cut = regex.compile("(%s)" % "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if added else None
-            self.simple = regex.compile(r"[^\x00-\u02ff]")
-            self.visible = _byte_letters()
+        self.store = Store()
+        self.pattern = regex.compile(PATTERN)
+        self.special = {a["content"]: a["id"] for a in added}
+        self.cut = regex.compile("(%s)" % "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if added else None
+        self.simple = regex.compile(r"[^\x00-\u02ff]")
+        self.visible = _byte_letters()
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -88,53 +179,85 @@ class Encoder:
             cls._kept[path] = cls(path)
         return cls._kept[path]
 
-    def ids(self, text: str) -> Iterator[list[int]]:
-        """The text's ids, in consecutive parts."""
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held, size = [], 0  # (place in out, part of a text)
+
+        def settle():
+            for (parts, k), got in zip([(out[i], k) for i, k, _ in held], self._encoded([w for _, _, w in held])):
+                parts[k] = got
+            held.clear()
+
+        for i, text in enumerate(texts):
+            for part in self._windows(text):
+                out[i].append(part)
+                if isinstance(part, bytes):
+                    held.append((i, len(out[i]) - 1, part))
+                    size += len(part)
+                    if size > WINDOW:
+                        settle()
+                        size = 0
+        settle()
+        return [np.concatenate(x) if x else np.zeros(0, np.uint32) for x in out]
+
+    def _windows(self, text: str) -> Iterator[bytes | np.ndarray]:
+        """A text's parts in order: normalized bytes that are still to be encoded, or ids."""
         if not self.parts:
-            yield self.library.encode(text, add_special_tokens=False).ids
+            yield np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
             return
         for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if k % 2:
-                yield [self.special[part]]
-            else:
-                yield from self._plain(part)
-
-    def _plain(self, text: str) -> Iterator[list[int]]:
-        at = 0
-        while at < len(text):  # a space is dropped, so texts may be cut there
-            to = text.find(" ", at + WINDOW)
-            to = len(text) if to < 0 else to
-            piece, at = text[at:to], to + 1
-            exact = False
-            if self.simple.search(piece):
-                # code points that this Python does not know may be letters to the library
-                exact = any(unicodedata.category(c) == "Cn" for c in set(piece))
-                piece = self.library.normalizer.normalize_str(piece)
-            else:  # NFC leaves these alone
-                piece = piece.lower()
-            if exact:
-                out = []
-                for word, _ in self.library.pre_tokenizer.pre_tokenize_str(piece):
-                    out += [t.id for t in self.library.model.tokenize(word)]
-                yield out
+                yield np.array([self.special[part]], np.uint32)
                 continue
-            out, cache = [], self.cache
-            for part in piece.split(" "):
-                got = cache.get(part)
-                if got is None:
-                    got = self._part(part)
-                out += got
-            yield out
-
-    def _part(self, part: str) -> list[int]:
-        got = []
-        for word in self.pattern.findall(part):
-            got += [t.id for t in self.library.model.tokenize(word.encode().decode("latin-1").translate(self.visible))]
-        if len(part) <= CACHED:
-            if len(self.cache) >= CACHE_SIZE:
-                self.cache.clear()
-            self.cache[part] = got
-        return got
+            at = 0
+            while at < len(part):  # a space is dropped, so texts may be cut there
+                to = part.find(" ", at + WINDOW)
+                to = len(part) if to < 0 else to
+                piece, at = part[at:to], to + 1
+                if self.simple.search(piece):
+                    # code points that this Python does not know may be letters to the library
+                    unknown = any(unicodedata.category(c) == "Cn" for c in set(piece))
+                    piece = self.library.normalizer.normalize_str(piece)
+                    if unknown:
+                        yield np.array([i for word, _ in self.library.pre_tokenizer.pre_tokenize_str(piece) for i in self._model(word)], np.uint32)
+                        continue
+                else:  # NFC leaves these alone
+                    piece = piece.lower()
+                yield piece.encode()
+
+    def _encoded(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of normalized texts: their distinct segments looked up, the others encoded and kept."""
+        buf = np.frombuffer(b"".join(texts), np.uint8)
+        offs = np.append(0, np.cumsum([len(t) for t in texts], dtype=np.int64)).astype(np.int64)
+        start, end, owner = segments(buf, offs)
+        if not len(start):
+            return [np.zeros(0, np.uint32) for _ in texts]
+        if self.store.n > STORED:
+            self.store.clear()
+        keys, at, which = np.unique(hash_spans(prefix_sums(buf), start, end), return_index=True, return_inverse=True)
+        first, size = start[at], end[at] - start[at]
+        row = self.store.find(keys, buf, first, size)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            raw = [buf[a:a + n].tobytes() for a, n in zip(first[new].tolist(), size[new].tolist())]
+            row[new] = self.store.add(keys[new], raw, [self._segment(x.decode()) for x in raw])
+        row = row[which]
+        begin = self.store.starts[1, row]
+        number = self.store.ends[1, row] - begin
+        ids = self.store.ids[ranges(begin, number)]
+        return np.split(ids, np.cumsum(np.bincount(owner, number, len(texts)).astype(np.int64))[:-1])
+
+    def _segment(self, text: str) -> list[int]:
+        if text.isalpha():  # one match of the pattern
+            return self._word(text)
+        return [i for word in self.pattern.findall(text) for i in self._word(word)]
+
+    def _word(self, word: str) -> list[int]:
+        return self._model(word.encode().decode("latin-1").translate(self.visible))
+
+    def _model(self, letters: str) -> list[int]:
+        return [t.id for t in self.library.model.tokenize(letters)]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -144,23 +267,6 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-def cut_ids(parts: Iterator[list[int]], limit: int, end: int) -> Iterator[array]:
-    """Pieces of at most ``limit`` ids of one document, the end id included."""
-    held = array("I")
-    for part in parts:
-        held.extend(part)
-        if len(held) > limit:
-            at = 0
-            while len(held) - at > limit:
-                yield held[at:at + limit]
-                at += limit
-            held = held[at:]
-    held.append(end)
-    yield held[:limit]
-    if len(held) > limit:
-        yield held[limit:]
-
-
 PIECE = "piece int, start long, length long, ids_crc32 long, part int, local long"
 
 
@@ -175,15 +281,15 @@ def pieces(docs: DataFrame, path: str, limit: int, end: int, with_ids: bool) ->
         for batch in batches:
             for rows, raw in slices(batch):
                 cols: list[list] = [[] for _ in names]
-                for k, text in enumerate(raw):
-                    start = 0
-                    for j, ids in enumerate(cut_ids(encoder.ids(text.as_py().decode("utf-8", "replace")), limit, end)):
-                        n = len(ids)
-                        row = (k, j, start, n, zlib.crc32(np.frombuffer(ids, np.uint32).astype("<u4").tobytes()), task, seen[n], np.frombuffer(ids, np.uint32).astype(np.int32))
+                for k, ids in enumerate(encoder.ids([t.as_py().decode("utf-8", "replace") for t in raw])):
+                    ids = np.append(ids, np.uint32(end)).astype("<u4")
+                    for j, start in enumerate(range(0, len(ids), limit)):
+                        part = ids[start:start + limit]
+                        n = len(part)
+                        row = (k, j, start, n, zlib.crc32(part.tobytes()), task, seen[n], part.view("<i4"))
                         for col, v in zip(cols, row):
                             col.append(v)
                         seen[n] += 1
-                        start += n
                 kinds = (None, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()))
                 ids_of = rows.column("doc_id").take(pa.array(cols[0], pa.int64())).cast(arrow)
                 yield pa.RecordBatch.from_arrays([ids_of, *(pa.array(c, t) for c, t in zip(cols[1:], kinds[1:]))], names)

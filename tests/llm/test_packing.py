@@ -24,16 +24,29 @@ def awkward_texts():
 
 def test_ids_are_the_librarys():
     library, own = Tokenizer.from_file(PATH), P.Encoder(PATH)
-    for text in awkward_texts() + [t or "" for _, t in T.edge_docs()]:
-        assert sum(own.ids(text), []) == library.encode(text, add_special_tokens=False).ids, text[:80]
+    texts = awkward_texts() + [t or "" for _, t in T.edge_docs()]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # from the library, then from the store
+        assert [x.tolist() for x in own.ids(texts)] == want
+    assert [own.ids([t])[0].tolist() for t in texts[:100]] == want[:100] and own.ids([]) == []
 
 
-def test_windows_and_a_full_cache_change_nothing(monkeypatch):
+def test_windows_and_a_full_store_change_nothing(monkeypatch):
     monkeypatch.setattr(P, "WINDOW", 7)
-    monkeypatch.setattr(P, "CACHE_SIZE", 3)
+    monkeypatch.setattr(P, "STORED", 3)
     library, own = Tokenizer.from_file(PATH), P.Encoder(PATH)
-    for text in awkward_texts()[:200]:
-        assert sum(own.ids(text), []) == library.encode(text, add_special_tokens=False).ids, text
+    texts = awkward_texts()[:200]
+    assert [x.tolist() for x in own.ids(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_store_compares_bytes():
+    """Segments with one hash are told apart."""
+    s = P.Store()
+    buf = np.frombuffer(b"abcdxy", np.uint8)
+    key = np.array([5, 9], np.uint64)
+    s.add(key, [b"ab", b"cd"], [[1], [2, 3]])
+    assert s.find(key, buf, np.array([0, 2]), np.array([2, 2])).tolist() == [0, 1]
+    assert s.find(key, buf, np.array([4, 2]), np.array([2, 1])).tolist() == [-1, -1]
 
 
 def check(rows, docs, limit):
