@@ -92,7 +92,7 @@ def _scaling(spark, sf_dir: str) -> dict:
     out = {}
     for k in (1, 10):
         flights = reduce(lambda a, b: a.unionByName(b), [i.flights] * k)
-        job = merge_counts(tally(clean_flights(flights, i.airports, airport_codes=i.airports.select("code"))))
+        job = merge_counts(tally(clean_flights(flights, i.airports)))
         job.write.format("noop").mode("overwrite").save()
         t0 = time.perf_counter()
         job.write.format("noop").mode("overwrite").save()

@@ -2,7 +2,7 @@
 
     python -m skytally --base-path <dir> [--input-file flights.csv]
         [--airports-order desc] [--airlines-order asc] [--carriers-order asc]
-        [--destinations-order asc] [--top 10] [--no-text] [--import-cache DIR] [--inbox DIR]
+        [--destinations-order asc] [--top 10] [--no-text] [--import-cache DIR] [--inbox DIR [--archive DIR]]
 
 Inputs are read from ``<base>/input/`` (``<input-file>``, ``airlines.csv``,
 ``airports.csv``); state, published metrics (parquet and, unless
@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--inbox", metavar="DIR",
                    help="process the flight files that arrived in DIR since the last call (file stream, "
                         "availableNow), instead of --input-file")
+    p.add_argument("--archive", metavar="DIR", help="with --inbox: move the files of finished batches below DIR")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("skytally").getOrCreate()
@@ -69,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             spark, a.inbox, os.path.join(inp, "airlines.csv"), os.path.join(inp, "airports.csv"),
             os.path.join(a.base_path, "state"),
             checkpoint_location=os.path.join(a.base_path, "inbox-checkpoint"),
-            options=options, results=results,
+            options=options, results=results, archive_dir=a.archive,
         )
         query.awaitTermination()
         for result in results:

@@ -1,6 +1,7 @@
 from .aggregate import (
     count_by,
     merge_counts,
+    merge_into,
     metric_counts,
     reason_rows,
     reason_totals,
@@ -9,18 +10,17 @@ from .aggregate import (
     tally,
 )
 from .clean import batch_date_range, clean_flights, ontime_departures
-from .joins import bounded_broadcast, bounded_broadcasts, keep_known, lookup_name
+from .joins import keep_known, lookup_name
 from .rank import rank_all, top_k, top_k_per_group
 
 __all__ = [
     "batch_date_range",
-    "bounded_broadcast",
-    "bounded_broadcasts",
     "clean_flights",
     "count_by",
     "keep_known",
     "lookup_name",
     "merge_counts",
+    "merge_into",
     "metric_counts",
     "ontime_departures",
     "rank_all",

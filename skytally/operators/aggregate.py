@@ -158,6 +158,19 @@ def merge_counts(*frames: DataFrame) -> DataFrame:
     return union.groupBy("metric", "k1", "k2").agg(F.sum("n").cast("long").alias("n"))
 
 
+def merge_into(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``old`` plus ``new``, both with one row per ``(metric, k1, k2)``.
+
+    A full outer join on the state's keys: an ``old`` that is bucketed by them is read bucket by bucket
+    and not shuffled, only ``new`` is, into as many partitions; the result lies in the same buckets.
+    """
+    keys = ["metric", "k1", "k2"]
+    o, w = old.alias("o"), new.alias("w")
+    both = o.join(w, [F.col(f"o.{k}") == F.col(f"w.{k}") for k in keys], "full_outer")
+    n = F.coalesce("o.n", F.lit(0)) + F.coalesce("w.n", F.lit(0))
+    return both.select(*[F.coalesce(f"o.{k}", f"w.{k}").alias(k) for k in keys], n.cast("long").alias("n"))
+
+
 def slice_metric(counts: DataFrame, metric: str) -> DataFrame:
     """``(k1, k2, n)`` of one metric of a long count frame."""
     return counts.where(F.col("metric") == metric).select("k1", "k2", "n")

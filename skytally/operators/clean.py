@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 
 from ..constants import FLIGHT_COLUMNS
 from ..functions import date_lit
-from .joins import bounded_broadcast, keep_known
+from .joins import keep_known
 
 
 def clean_flights(
     flights: DataFrame,
     airports: DataFrame,
     after: _dt.date | None = None,
-    *,
-    airport_codes: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with a known origin and destination airport, dated after ``after``.
 
@@ -31,7 +29,7 @@ def clean_flights(
     checked = flights.where(
         F.when(F.col("_problem").isNotNull(), F.raise_error(F.col("_problem"))).otherwise(keep)
     )
-    codes = airport_codes if airport_codes is not None else bounded_broadcast(airports.select("code"))
+    codes = airports.select("code")
     known = keep_known(keep_known(checked, "origin_airport", codes), "destination_airport", codes)
     return known.select(*FLIGHT_COLUMNS)
 

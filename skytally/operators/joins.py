@@ -1,56 +1,17 @@
 """Dictionary joins: the known-airport semi join and the code -> name lookup.
 
 Dictionaries are small in practice (a few hundred airports, a few dozen
-airlines), but they are inputs, so their size is checked before they are
-broadcast: ``bounded_broadcast`` looks at ``max_rows + 1`` rows at most and adds
-the broadcast hint only within that number and ``MAX_BROADCAST_BYTES`` of text.
-A dictionary over a bound is joined without a hint and Catalyst/AQE choose
-a shuffle join instead; the result is the same.
+airlines), but they are inputs, so nothing is hinted.  A run writes them once as
+a small table (``StateStore.write_dictionaries``) and reads that: its file size is
+exact, so Catalyst broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and
+shuffles it above, and AQE looks again at run time.  No job runs to find out.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS_CONF = "skytally.broadcast.maxRows"
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 << 20
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
-    return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check runs a bounded job over ``limit(max_rows + 1)``, so its cost does
-    not grow past the bound whatever the size of ``df``.
-    """
-    return bounded_broadcasts(df, max_rows=max_rows)[0]
-
-
-def bounded_broadcasts(*dfs: DataFrame, max_rows: int | None = None) -> list[DataFrame]:
-    """``bounded_broadcast`` for several frames, checked together in one job."""
-    if not dfs:
-        return []
-    bound = broadcast_limit(dfs[0]) if max_rows is None else max_rows
-    probes = [df.limit(bound + 1).select(F.lit(i).alias("_frame"), _text_bytes(df).alias("_bytes")) for i, df in enumerate(dfs)]
-    union = reduce(lambda a, b: a.unionAll(b), probes)
-    sizes = {r["_frame"]: (r["n"], r["b"]) for r in
-             union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("b")).collect()}
-    fits = [n <= bound and b <= MAX_BROADCAST_BYTES for n, b in (sizes.get(i, (0, 0)) for i in range(len(dfs)))]
-    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, fits)]
-
-
-def _text_bytes(df: DataFrame):
-    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
-    return reduce(lambda a, b: a + b, lengths, F.lit(0)).cast("long")
-
 
 def keep_known(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``column`` is a code of the dictionary (left semi join)."""
@@ -61,8 +22,7 @@ def keep_known(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
 def lookup_name(df: DataFrame, dictionary: DataFrame, code_col: str, name_col: str) -> DataFrame:
     """Add ``name_col`` = name of ``code_col``; rows with an unknown code are dropped.
 
-    ``dictionary`` is ``(code, name)`` with unique codes and should already
-    have gone through ``bounded_broadcast``.
+    ``dictionary`` is ``(code, name)`` with unique codes.
     """
     d = dictionary.select(F.col("code").alias(code_col), F.col("name").alias(name_col))
     return df.join(d, on=code_col, how="inner")

@@ -10,10 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-# Most rows that ``rank_all`` numbers.
-RANK_ALL_LIMIT = 100_000
-
+from ..session import scratch_dir
 
 def _order(value: str, key: str, ascending: bool) -> list[Column]:
     v = F.col(value).asc() if ascending else F.col(value).desc()
@@ -47,16 +44,23 @@ def top_k_per_group(
     return df.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
-def rank_all(df: DataFrame, value: str, key: str, ascending: bool) -> DataFrame:
+def rank_all(df: DataFrame, value: str, key: str, ascending: bool, folder: str | None = None) -> DataFrame:
     """All rows numbered by ``value`` (a total order: ties broken by ``key``).
 
-    Numbering a total order needs one partition, so this is for aggregated
-    frames of a small key domain (e.g. the week days): with more than
-    ``RANK_ALL_LIMIT`` rows the query fails.  Each task hands on one row more
-    than that at most.
+    Rows are range partitioned by the order, sorted in their partitions and
+    written to ``folder`` (by default a new one below the shared work folder), so that
+    every later step sees the same partitions.  A row's rank is its number in
+    its partition plus the rows of the partitions before, and only the counts of
+    the partitions are added up in one place.
     """
+    spark = df.sparkSession
+    folder = folder or scratch_dir(spark, "ranked")
     order = _order(value, key, ascending)
-    some = df.orderBy(*order).limit(RANK_ALL_LIMIT + 1)
-    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
-    too_many = F.raise_error(F.lit(f"more than {RANK_ALL_LIMIT} values of {key} to rank"))
-    return some.withColumn("rank", rank).withColumn("rank", F.when(F.col("rank") > RANK_ALL_LIMIT, too_many).otherwise(F.col("rank")))
+    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    placed.write.mode("errorifexists").parquet(folder)
+    placed = spark.read.schema(placed.schema).parquet(folder)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_here"), F.min("_at").alias("_first"))
+    before = F.sum("_here").over(Window.orderBy("_part")) - F.col("_here")  # one row per partition
+    shifts = counts.select("_part", (before - F.col("_first") + 1).alias("_shift"))
+    return placed.join(shifts, "_part").withColumn("rank", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")

@@ -7,19 +7,23 @@ Cost model of a run, whatever the input size:
   metrics happen in one job (``tally``, one aggregate whose partial
   aggregation runs before the only shuffle of the input);
 * without new rows the run ends there, with a log line and nothing else;
-* otherwise the new counts are merged with the committed state (a union and
-  one more aggregate over group-sized data, not row-sized) into the new
-  snapshot; the lineage to the input ends there;
+* the new counts are written and read back, so a lost executor costs no second
+  scan, and nothing that comes from the flights is cached;
+* the new counts are joined to the committed state where it lies (it is bucketed by
+  its keys; only the new counts are shuffled) into the new snapshot;
 * the metrics are computed from the written snapshot, which holds one
-  row per group, and written in one job under the same run id, partitioned
-  by metric;
-* one commit row makes snapshot and metrics visible together.
+  row per group, as one frame and written in one job under the same run id,
+  partitioned by metric;
+* one commit file makes snapshot and metrics visible together.
+
+Dictionaries are written once per run too: as small tables of known size,
+from which Catalyst and AQE choose the joins without a probe.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -28,26 +32,23 @@ from pyspark.sql import functions as F
 
 from ..constants import (
     BATCH,
-    DEPARTURES_BY_ORIGIN,
     FLIGHT_COLUMNS,
     METRIC_NAMES,
     NOTHING_PROCESSED,
-    ONTIME_ARRIVALS_BY_WEEKDAY,
-    ONTIME_BY_AIRLINE,
-    ONTIME_BY_ORIGIN_AIRLINE,
-    ONTIME_BY_ORIGIN_DEST,
     TOP_K,
 )
-from ..operators import bounded_broadcasts, clean_flights, merge_counts, reasons_from_counts, slice_metric, tally
+from ..operators import clean_flights, merge_into, tally
 from ..sinks import write_metric_lines
 from ..sources import read_dictionary_csv, read_flights_csv
-from ..state import StateStore
+from ..state import STATE_BUCKETS, StateStore
 from . import metrics as M
 
+
 @dataclass(frozen=True)
 class RunOptions:
     """Sort directions of the four rankings, their length, and whether the
-    metrics are also exported as plain text lines (the original format)."""
+    metrics are also exported as plain text lines (the original format).
+    ``state_buckets`` counts for the first run; later ones keep its number."""
 
     airports_ascending: bool = False
     airlines_ascending: bool = True
@@ -55,11 +56,20 @@ class RunOptions:
     destinations_ascending: bool = True
     k: int = TOP_K
     export_lines: bool = False
+    state_buckets: int = STATE_BUCKETS
 
     def __post_init__(self):
+        if not isinstance(self.state_buckets, int) or self.state_buckets < 1:
+            raise ValueError(f"state_buckets must be a positive integer, got {self.state_buckets!r}")
         if not isinstance(self.k, int) or self.k < 1:
             raise ValueError(f"k must be a positive integer, got {self.k!r}")
 
+    @property
+    def ascending(self) -> dict[str, bool]:
+        """Direction of each ranking by the name of its table."""
+        return {"top_airports": self.airports_ascending, "top_airlines": self.airlines_ascending,
+                "top_carriers_per_origin": self.carriers_ascending, "top_destinations_per_origin": self.destinations_ascending}
+
 
 # Columns and order of each metric in the plain-line export: names and
 # counts only, ``name,value`` per line as in the original output files.
@@ -85,27 +95,6 @@ class BatchResult:
     metrics: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
-def metric_builders(state: DataFrame, airports: DataFrame, airlines: DataFrame,
-                    options: RunOptions = RunOptions()) -> dict[str, Callable[[], DataFrame]]:
-    """One function per metric table that builds it from a long state/count frame."""
-    totals = reasons_from_counts(state)
-    o = options
-    return {
-        "top_airports": lambda: M.top_airports(
-            slice_metric(state, DEPARTURES_BY_ORIGIN), airports, o.airports_ascending, o.k),
-        "top_airlines": lambda: M.top_airlines(
-            slice_metric(state, ONTIME_BY_AIRLINE), airlines, o.airlines_ascending, o.k),
-        "top_carriers_per_origin": lambda: M.top_carriers_per_origin(
-            slice_metric(state, ONTIME_BY_ORIGIN_AIRLINE), airports, airlines, o.carriers_ascending, o.k),
-        "top_destinations_per_origin": lambda: M.top_destinations_per_origin(
-            slice_metric(state, ONTIME_BY_ORIGIN_DEST), airports, o.destinations_ascending, o.k),
-        "weekdays_by_ontime": lambda: M.weekdays_by_ontime(slice_metric(state, ONTIME_ARRIVALS_BY_WEEKDAY)),
-        "delay_reason_counts": lambda: M.delay_reason_counts(totals),
-        "delay_reason_percent": lambda: M.delay_reason_percent(totals),
-        "delay_reason_minutes": lambda: M.delay_reason_minutes(totals),
-    }
-
-
 def _require(df: DataFrame, columns: list[str], what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -153,64 +142,50 @@ def run_batch(
     """
     store = StateStore(spark, base_path)
     run_id = None
-    cached: list[DataFrame] = []
     try:
         previous = store.latest_commit()
+        store.point_to_current()  # a run that died after its commit may not have done so
         mark = previous.last_date if previous else NOTHING_PROCESSED
         seq, run_id = store.new_run(previous)
-
-        airports_df = _as_dictionary(spark, airports, "airports")
-        airlines_df = _as_dictionary(spark, airlines, "airlines")
-        # Dictionaries are parsed and de-duplicated once per run and kept (they
-        # are used by the size check, both semi joins and four lookups); cached
-        # blocks lost with an executor are computed again from their source.
-        for d in (airports_df, airlines_df):
-            cached.append(d.cache())
-        airports_df, airlines_df = bounded_broadcasts(airports_df, airlines_df)
-        clean = clean_flights(_as_flights(spark, flights), airports_df, mark,
-                              airport_codes=airports_df.select("code"))
-
-        # The new counts (one row per group) are kept for the run: they say whether
-        # there is anything new before a snapshot is written.  The input is
-        # scanned once.
-        new = tally(clean).cache()
-        cached.append(new)
-        batch = {r.k1: r.n for r in new.where(F.col("metric") == BATCH).select("k1", "n").collect()}
+        store.write_dictionaries(run_id, airports=_as_dictionary(spark, airports, "airports"),
+                                 airlines=_as_dictionary(spark, airlines, "airlines"))
+        clean = clean_flights(_as_flights(spark, flights), store.read_dictionary(run_id, "airports"), mark)
+
+        # The input is scanned once: its counts (one row per group) are written, and say
+        # whether there is anything new before a snapshot is written.
+        new = store.write_counts(tally(clean), run_id)
+        batch = {r.k1: r.n for r in new.where(F.col("metric") == BATCH).select("k1", "n").collect()}  # three rows
         n_rows = int(batch.get("rows", 0))
         if n_rows == 0:
             store.log(run_id, ("no_new_data", f"no flights after {mark.isoformat()}"))
             return BatchResult("no_new_data", None, None, None, 0,
                                _published(store, previous.run_id) if previous else {})
-        # The new batch rows pass through the merge unchanged (the old ones are
-        # left out: they describe the previous run).
-        if previous is not None:
-            old = store.read_snapshot(previous.run_id).where(F.col("metric") != BATCH)
-            snapshot = merge_counts(new, old)
+        buckets = previous.buckets if previous else options.state_buckets
+        if previous is None:
+            store.write_snapshot(new, run_id, buckets)
         else:
-            snapshot = merge_counts(new)
-        store.write_snapshot(snapshot, run_id)
-
-        state = store.read_snapshot(run_id).cache()  # group-sized, read by every metric
-        cached.append(state)
+            # The new batch rows pass through the merge unchanged (the old ones are
+            # left out: they describe the previous run).
+            with store.bucketed(previous.run_id, buckets) as old:
+                store.write_snapshot(merge_into(old.where(F.col("metric") != BATCH), new), run_id, buckets, in_place=True)
         epoch = _dt.date(1970, 1, 1)
         first = epoch + _dt.timedelta(days=int(batch["first_day"]))
         last = epoch + _dt.timedelta(days=int(batch["last_day"]))
 
-        counts_state = state.where(F.col("metric") != BATCH)
-        tables = metric_builders(counts_state, airports_df, airlines_df, options)
-        store.write_metrics({name: build() for name, build in tables.items()}, run_id)
+        state = store.read_snapshot(run_id).where(F.col("metric") != BATCH)
+        store.write_metric_rows(M.published_rows(state, store.read_dictionaries(run_id), options.ascending, options.k,
+                                                 store.ranked_path(run_id)), run_id)
         if options.export_lines:
-            with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            with ThreadPoolExecutor(max_workers=len(LINE_LAYOUT)) as pool:
                 jobs = []
-                for name in tables:
-                    cols, order = LINE_LAYOUT[name]
+                for name, (cols, order) in LINE_LAYOUT.items():
                     published = store.read_metric(run_id, name)
                     jobs.append(pool.submit(write_metric_lines, published, store.lines_path(run_id, name),
                                             cols, order))
                 for f in jobs:
                     f.result()
 
-        store.commit(seq, run_id, first, last, n_rows)
+        store.commit(seq, run_id, first, last, n_rows, buckets)
         store.log(run_id, ("collected", f"flights from {first.isoformat()} to {last.isoformat()}"),
                   ("processed", f"{n_rows} flights"))
         return BatchResult("processed", run_id, first, last, n_rows, _published(store, run_id))
@@ -221,9 +196,6 @@ def run_batch(
         except Exception:  # the original error matters more than the log line
             pass
         raise
-    finally:
-        for d in cached:
-            d.unpersist()
 
 
 class _Published(Mapping):

@@ -19,13 +19,15 @@ from .. import constants as C
 from ..functions import date_lit
 from ..operators import (
     batch_date_range,
-    bounded_broadcasts,
     clean_flights,
     merge_counts,
+    merge_into,
     metric_counts,
     ontime_departures,
+    rank_all,
     reason_totals,
     reasons_from_counts,
+    slice_metric,
     tally,
 )
 from ..session import scratch_dir
@@ -38,7 +40,7 @@ from ..sources import (
     read_flights_csv,
     table,
 )
-from ..state import StateStore
+from ..state import STATE_BUCKETS, StateStore
 from . import metrics as M
 from .batch import LINE_LAYOUT, RunOptions, run_batch
 
@@ -55,11 +57,11 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self.flights = flights_from_tables(spark, sf_dir)
-        self.airports, self.airlines = bounded_broadcasts(
-            airports_from_tables(spark, sf_dir), airlines_from_tables(spark, sf_dir))
+        self.airports = airports_from_tables(spark, sf_dir)
+        self.airlines = airlines_from_tables(spark, sf_dir)
 
     def clean(self, after: _dt.date | None = None) -> DataFrame:
-        return clean_flights(self.flights, self.airports, after, airport_codes=self.airports.select("code"))
+        return clean_flights(self.flights, self.airports, after)
 
 
 def _dates_as_text(df: DataFrame) -> DataFrame:
@@ -250,7 +252,7 @@ def q_csv_scan_roundtrip(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     path = scratch_dir(spark, "flights-csv")
     write_text_with_header(flight_lines(i.flights), path, header="year,month,day,rest")
-    clean = clean_flights(read_flights_csv(spark, path), i.airports, airport_codes=i.airports.select("code"))
+    clean = clean_flights(read_flights_csv(spark, path), i.airports)
     return _dates_as_text(clean)
 
 
@@ -400,6 +402,79 @@ def q_repeated_dictionary_codes(spark, sf_dir):
     return stack_metrics(run_batch(spark, scratch_dir(spark, "runs"), i.flights, again(i.airlines), again(i.airports)).metrics)
 
 
+def q_current_metrics(spark, sf_dir):
+    """The newest metrics as a reader without this package finds them: ``current.json``, then plain Parquet."""
+    store, _ = _runs(spark, sf_dir, None)
+    now = spark.read.json(f"{store.base}/current.json").first()  # one small line
+    tables = spark.read.parquet(f"{store.base}/{now.metrics}")
+    return stack_metrics({name: tables.where(F.col("metric") == name) for name in now.tables})
+
+
+def q_exclusive_commit(spark, sf_dir):
+    """Two writers of one run number, the second with all flights: it is refused and nothing of it is seen."""
+    i = Inputs(spark, sf_dir)
+    store = StateStore(spark, scratch_dir(spark, "runs"))
+    seq, _ = store.new_run(None)
+    refused = 0
+    for rows in (i.flights.where(F.col("flight_date") <= date_lit(MARK)), i.flights):
+        _, run_id = store.new_run(None)
+        store.write_snapshot(tally(clean_flights(rows, i.airports)), run_id)
+        try:
+            store.commit(seq, run_id, MARK, MARK, 0)
+        except RuntimeError:
+            refused += 1
+    if refused != 1:
+        raise AssertionError(f"one of two writers should be refused, not {refused}")
+    return _no_batch(store.committed_state())
+
+
+def q_merge_in_buckets(spark, sf_dir):
+    """New counts joined to a bucketed state, which is read where it lies, and written in the same buckets."""
+    i = Inputs(spark, sf_dir)
+    store = StateStore(spark, scratch_dir(spark, "runs"))
+    d = F.col("flight_date")
+    store.write_snapshot(_no_batch(tally(i.clean().where(d <= date_lit(MARK)))), "old")
+    new = _no_batch(store.write_counts(tally(i.clean().where(d > date_lit(MARK))), "new"))
+    with store.bucketed("old", STATE_BUCKETS) as old:
+        store.write_snapshot(merge_into(old, new), "new", in_place=True)
+    return store.read_snapshot("new")
+
+
+def q_reuse_one_scan(spark, sf_dir):
+    """What a run keeps of its one scan: the written counts, and the state that came from them."""
+    i = Inputs(spark, sf_dir)
+    base = scratch_dir(spark, "runs")
+    run_id = run_batch(spark, base, i.flights, i.airlines, i.airports).run_id
+    store = StateStore(spark, base)
+    kept = store.read_counts(run_id).select(F.lit("counts").alias("held"), "*")
+    return kept.unionByName(store.read_snapshot(run_id).select(F.lit("state").alias("held"), "*"))
+
+
+def q_all_airlines_ranked(spark, sf_dir):
+    """All airlines in the order of their on-time flights."""
+    c = metric_counts(Inputs(spark, sf_dir).clean(), C.ONTIME_BY_AIRLINE)
+    c = c.select(F.col("k1").alias("airline_code"), F.col("n").alias("ontime_flights"))
+    return rank_all(c, "ontime_flights", "airline_code", ascending=False)
+
+
+def q_unknown_metric_rejected(spark, sf_dir):
+    """A run's tables with one that the job does not know: it is counted as rejected, the others are published."""
+    i = Inputs(spark, sf_dir)
+    store = StateStore(spark, scratch_dir(spark, "runs"))
+    _, run_id = store.new_run(None)
+    counts = store.write_counts(tally(i.clean()), run_id)
+    totals = reasons_from_counts(_no_batch(counts))
+    by_airline = slice_metric(counts, C.ONTIME_BY_AIRLINE)
+    store.write_metrics({"delay_reason_counts": M.delay_reason_counts(totals), "flights_by_airline": by_airline,
+                         "top_airports": M.top_airports(slice_metric(counts, C.DEPARTURES_BY_ORIGIN), i.airports)}, run_id)
+    out = store.read_rejects(run_id).select("metric", F.lit("rejected").alias("outcome"), F.col("rejected").alias("n_rows"))
+    for name in ("delay_reason_counts", "top_airports"):
+        there = store.read_metric(run_id, name).agg(F.count(F.lit(1)).alias("n_rows"))
+        out = out.unionByName(there.select(F.lit(name).alias("metric"), F.lit("published").alias("outcome"), "n_rows"))
+    said = store.run_log().where("status = 'rejected'").groupBy("detail").agg(F.count(F.lit(1)).alias("n_rows"))
+    return out.unionByName(said.select(F.col("detail").alias("metric"), F.lit("logged").alias("outcome"), "n_rows"))
+
+
 #: The four rankings the other way round.
 REVERSED = RunOptions(airports_ascending=True, airlines_ascending=False, carriers_ascending=False, destinations_ascending=False)
 
@@ -509,4 +584,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repeated_dictionary_codes": q_repeated_dictionary_codes,
     "metric_lines_all": q_metric_lines_all,
     "stream_two_arrivals": q_stream_two_arrivals,
+    "current_metrics": q_current_metrics,
+    "exclusive_commit": q_exclusive_commit,
+    "merge_in_buckets": q_merge_in_buckets,
+    "reuse_one_scan": q_reuse_one_scan,
+    "all_airlines_ranked": q_all_airlines_ranked,
+    "unknown_metric_rejected": q_unknown_metric_rejected,
 }

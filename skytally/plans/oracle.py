@@ -272,4 +272,17 @@ ORACLE: dict[str, str] = {
     "repeated_dictionary_codes": _full_run_metrics(),
     "metric_lines_all": _full_run_metrics(select=_LINES),
     "stream_two_arrivals": _long(),
+    "current_metrics": _full_run_metrics(),
+    "exclusive_commit": _long(f"flight_date <= {MARK}"),
+    "merge_in_buckets": _long(),
+    "reuse_one_scan": f"""SELECT held, metric, k1, k2, n FROM ({_state_with_batch()}) s CROSS JOIN (VALUES ('counts'), ('state')) h(held)""",
+    "all_airlines_ranked": _with(
+        body=("SELECT row_number() OVER (ORDER BY n DESC, airline) AS rank, airline AS airline_code, n AS ontime_flights FROM ("
+              "SELECT airline, count(*) AS n FROM clean WHERE departure_delay = '0' AND arrival_delay = '0' GROUP BY airline)")),
+    "unknown_metric_rejected": _with(
+        body=("SELECT 'flights_by_airline' AS metric, 'rejected' AS outcome, count(DISTINCT airline) AS n_rows FROM clean "
+              "WHERE departure_delay = '0' AND arrival_delay = '0'\n"
+              f"UNION ALL SELECT 'delay_reason_counts', 'published', CAST({len(DELAY_REASONS)} AS BIGINT)\n"
+              "UNION ALL SELECT 'top_airports', 'published', least(10, count(DISTINCT origin_airport)) FROM clean\n"
+              "UNION ALL SELECT 'unknown metric flights_by_airline', 'logged', CAST(1 AS BIGINT)")),
 }

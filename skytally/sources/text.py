@@ -46,19 +46,24 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 MAX_FILE_AGE = "36500d"
 
 
-def stream_lines(spark: SparkSession, path: str) -> DataFrame:
+def stream_lines(spark: SparkSession, path: str, archive: str | None = None, forget_after: str = MAX_FILE_AGE) -> DataFrame:
     """The same line source as a streaming DataFrame over a directory.
 
     All files that have arrived form one micro-batch: cutting an arrival into
     several would move the mark after the first, and flights of the same date
-    in the others would count as late.  A file is read once whatever its
-    modification time; the source remembers the files it has seen, so a
-    long-lived inbox should be cleaned of processed files from time to time.
+    in the others would count as late.
+
+    Without ``archive`` files stay, each is read once whatever its modification
+    time, and the source remembers their names for good.  With ``archive``, files of
+    a finished batch are moved below that folder (with their whole path), so the
+    inbox stays short to list; names older than ``forget_after`` before the newest
+    file are forgotten then, and files of such an age that only arrive now are not read.
     """
+    moved = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
     return (
         spark.readStream.schema(LINE_SCHEMA).option("header", True)
         .option("sep", _WHOLE_LINE_SEP).option("quote", "").option("escape", "")
-        .option("maxFileAge", MAX_FILE_AGE).csv(path)
+        .option("maxFileAge", forget_after).options(**moved).csv(path)
     )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.batch import BatchResult, RunOptions, run_batch
 from ..sources import parse_flight_lines, stream_lines
+from ..sources.text import MAX_FILE_AGE
 
 
 def start_incremental(
@@ -35,6 +36,8 @@ def start_incremental(
     available_now: bool = True,
     processing_time: str | None = None,
     results: list[BatchResult] | None = None,
+    archive_dir: str | None = None,
+    forget_after: str | None = None,
 ) -> StreamingQuery:
     """Start a stream over ``input_dir`` (flight CSV files with a header line).
 
@@ -42,8 +45,15 @@ def start_incremental(
     later session resumes where this one stopped.  ``results``, if given,
     collects the outcome of every micro-batch (useful for tests and
     monitoring).
+
+    ``archive_dir`` (outside ``input_dir``) takes the files of finished batches, so
+    that a long-lived inbox stays short.  ``forget_after`` (such as ``"30d"``) then lets the
+    source forget their names too; a file that much older than the newest one must not
+    arrive any more, as it would not be read.
     """
-    flights = parse_flight_lines(stream_lines(spark, input_dir))
+    if forget_after and not archive_dir:
+        raise ValueError("forget_after needs archive_dir: forgotten files that stay in the inbox would be read again")
+    flights = parse_flight_lines(stream_lines(spark, input_dir, archive_dir, forget_after or MAX_FILE_AGE))
     location = checkpoint_location or f"{base_path.rstrip('/')}/stream"
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -31,7 +31,7 @@ def inputs(spark):
 
 
 def test_tally_matches_brute_force_counts(spark, inputs):
-    clean = clean_flights(skewed(inputs), inputs.airports, airport_codes=inputs.airports.select("code"))
+    clean = clean_flights(skewed(inputs), inputs.airports)
     total = clean.count()
     hot = clean.where(F.col("origin_airport") == HOT).count()
     assert hot * 4 > total  # the hot key holds (well over) a quarter of the rows
@@ -46,7 +46,7 @@ def test_tally_matches_brute_force_counts(spark, inputs):
 
 
 def test_hot_origin_top_k_matches_sql(spark, inputs):
-    clean = clean_flights(skewed(inputs), inputs.airports, airport_codes=inputs.airports.select("code"))
+    clean = clean_flights(skewed(inputs), inputs.airports)
     df = M.top_carriers_per_origin(metric_counts(clean, C.ONTIME_BY_ORIGIN_AIRLINE),
                                    inputs.airports, inputs.airlines, ascending=False)
     got = sorted((r.origin_code, r.rank, r.airline_code, r.ontime_departures) for r in df.collect())
@@ -71,7 +71,7 @@ def test_hot_origin_top_k_matches_sql(spark, inputs):
 
 
 def test_plan_combines_before_every_shuffle(spark, inputs):
-    clean = clean_flights(skewed(inputs), inputs.airports, airport_codes=inputs.airports.select("code"))
+    clean = clean_flights(skewed(inputs), inputs.airports)
     df = M.top_carriers_per_origin(metric_counts(clean, C.ONTIME_BY_ORIGIN_AIRLINE),
                                    inputs.airports, inputs.airlines)
     buf = io.StringIO()

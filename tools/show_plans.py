@@ -38,7 +38,7 @@ def main():
         "tally merged into state (the one job that reads the input)": merge_counts(tally(clean)),
     }
     if csv:
-        c = clean_flights(read_flights_csv(spark, csv), i.airports, airport_codes=i.airports.select("code"))
+        c = clean_flights(read_flights_csv(spark, csv), i.airports)
         shows["clean flights from text (split once, check, semi joins)"] = c
     for title, df in shows.items():
         print(f"### {title}\n\n```")
