@@ -78,14 +78,45 @@ def ship(spark: SparkSession) -> None:
     sc._skytally_shipped = True
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: cuts the lineage."""
+#: Lets Spark remove the shuffle files of a finished query at once.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_by(df: DataFrame, label: str, column: str | None = None) -> tuple[DataFrame, str]:
+    """Write to the shared checkpoint folder, parted by a column if one is given; the table read back, and its folder.
+
+    The shuffle files behind it are removed with the end of the write: nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.partitionBy(*([column] if column else [])).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before) if before is not None else spark.conf.unset(FREE_SHUFFLES)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, label: str, free: bool = False) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: cuts the lineage.
+
+    ``free`` removes the shuffle files behind it with the end of the write, where nothing reads them again.
+    """
+    if free:
+        return written_by(df, label)[0]
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``written_by`` made and nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver drop plans that are done, so that Spark removes their shuffle files now."""
     gc.collect()

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import buffer_of, hash_spans, prefix_sums, release, ship, slices, to_bytes, trim, written
+from .shared import buffer_of, hash_spans, prefix_sums, ship, slices, to_bytes, trim, written
 
 LENGTH = 50
 GRAM = 20
@@ -166,7 +166,7 @@ def shared_anchors(counts: DataFrame, shards: int, bits: int, hot: int):
         return pa.table({"shard": t.column("shard").slice(0, 1), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary()),
                          "hot": pa.array([h[many].view(np.int64).tolist()], pa.list_(pa.int64()))})
 
-    rows = written(counts.groupBy("shard").applyInArrow(merge, "shard long, bits binary, hot array<long>"), "suffix-anchors")
+    rows = written(counts.groupBy("shard").applyInArrow(merge, "shard long, bits binary, hot array<long>"), "suffix-anchors", free=True)
     packed = np.zeros((1 << bits) // 8, np.uint8)
     part = (1 << step) // 8
     for r in rows.select("shard", "bits").toLocalIterator():
@@ -455,7 +455,7 @@ def hot_spans(docs: DataFrame, shared) -> DataFrame:
             t = packed_spans(batch.column("doc_id").to_numpy()[row], batch.column("key").to_numpy()[row], a, b)
             yield from t.to_batches()
 
-    rows = written(hot_strings(docs, shared), "suffix-hot-strings")
+    rows = written(hot_strings(docs, shared), "suffix-hot-strings", free=True)
     least = rows.groupBy("s").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "s").where("least < doc_id").select("doc_id", "key", "places").mapInArrow(pack, SPANS)
 
@@ -472,7 +472,7 @@ def tagged(docs: DataFrame) -> DataFrame:
     hot = (docs.select(order.alias("ord"), digest.alias("digest")).groupBy("digest").agg(F.count("*").alias("n"), F.min("ord").alias("first_id"))
            .where(F.col("n") > max(HOT_TEXT, total >> 20)).select("digest", "first_id"))
     gone = (F.col("ord") > F.col("first_id")) & (F.octet_length("text") >= LENGTH)
-    return rows.withColumn("digest", digest).join(F.broadcast(written(hot, "suffix-hot-texts")), "digest", "left").withColumn("gone", F.coalesce(gone, F.lit(False))).drop("digest", "first_id")
+    return rows.withColumn("digest", digest).join(F.broadcast(written(hot, "suffix-hot-texts", free=True)), "digest", "left").withColumn("gone", F.coalesce(gone, F.lit(False))).drop("digest", "first_id")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -484,14 +484,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     bits = min(MOST_BITS, max(LEAST_BITS, (size // 4).bit_length()))
     bits = max(bits, shards.bit_length() + 2)
     packed, hot = shared_anchors(anchor_counts(live, shards), shards, bits, max(HOT_ANCHOR, size >> 26))
-    release(spark)
     shared = spark.sparkContext.broadcast((packed, hot))
     found = contexts(live, shards, bits, shared).groupBy("shard").applyInArrow(spans_of, SPANS)
     if len(hot):
         found = found.unionByName(hot_spans(live, shared))
-    out = written(found, "suffix-spans")
-    release(spark)
-    return out
+    return written(found, "suffix-spans", free=True)
 
 
 def kept_parts(raw: bytes, spans: list[bytes], gone: bool) -> tuple[list[bytes], int, int]:
