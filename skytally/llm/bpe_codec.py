@@ -7,16 +7,19 @@ holds ``STORE_BYTES``).
 
 Encoding chunks alone is wrong near a cut.  The joins are repaired by
 re-encoding the text from a *sync point* before the cut to one after it.  A
-sync point is a single space between a printable ASCII character or Latin
-letter and a Latin letter: the pre-tokenizer's pattern starts a match there
-whatever stands before, so tokens never cross it.  After re-encoding, both
-neighbours must have a token border at the chosen points; where one hasn't, or
-a chunk has no sync point, the stretch grows to the next chunk and is encoded
-again, at worst up to the whole text.
+sync point is a place that no match of the pre-tokenizer's pattern can span, whatever
+stands around it: behind a character that is no white space, where white space begins or
+the kind of character changes (letter, number, other).  Every script has them.  After
+re-encoding, both neighbours must have a token border at the chosen points; where one hasn't, or
+a chunk has no sync point, the stretch grows by the next chunk.  It is encoded when its
+end is found, so every character is encoded twice at most, once in its chunk and once
+in a stretch, also in a text without any sync point.
+
+Strings of added tokens part a text; what lies between them is joined from chunks like a whole text.
 
 Decoding concatenates the bytes of the tokens and replaces invalid UTF-8, as
-the library's byte-level decoder does.  Strings of special tokens in a text
-become the special id, as the library does by default.
+the library's byte-level decoder does.  Strings of added tokens in a text
+become their id, as the library does by default.
 
 Edge cases: null is the empty text: no ids, and the hashes of empty strings.
 One row out per row in, also for repeated rows and null ids; an empty table
@@ -29,9 +32,11 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from .shared import buffer_of, hash_spans, prefix_sums, ship, slices
@@ -43,7 +48,11 @@ MOST_CHUNK = 8192
 STORE_BYTES = 96 << 20
 #: The public byte-level pre-tokenizer pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SYNC = re.compile("(?<=[!-~À-ÖØ-öø-ɏ]) (?=[A-Za-zÀ-ÖØ-öø-ɏ])")
+#: White space of all Unicode versions; the separators U+001C to U+001F count as such for some libraries only, so no sync point is taken beside them.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+OTHER = rf"[^\p{{L}}\p{{N}}{SPACE}\x1c-\x1f]"
+#: An apostrophe may take the letters behind it along.
+SYNC = regex.compile(rf"(?<=[^{SPACE}\x1c-\x1f])(?=[{SPACE}])|(?<=\p{{L}})(?=\p{{N}}|{OTHER})|(?<=\p{{N}})(?=\p{{L}}|{OTHER})|(?<=(?!'){OTHER})(?=[\p{{L}}\p{{N}}])")
 _CODECS: dict = {}  # per worker, by path
 
 
@@ -68,7 +77,7 @@ class Codec:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         plain = (spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
                  and spec["normalizer"] is None and all(not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"]))
         letters = byte_alphabet()
@@ -85,7 +94,8 @@ class Codec:
         merged = spec["model"]["vocab"]
         ranks = {self.bytes_of[i]: i for t, i in merged.items() if t not in self.special}
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if plain else None
-        self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        self.marks = [t.encode() for t in self.special]
+        self.cut_bytes = re.compile(b"|".join(map(re.escape, sorted(self.marks, key=len, reverse=True)))) if self.marks else None
         self.store: dict[bytes, np.ndarray] = {}
         self.held = 0
         self.encoded = 0
@@ -118,49 +128,49 @@ class Codec:
 
     def joined(self, raw: bytes, cuts: list[int]) -> np.ndarray:
         """Ids of a text from its chunks, the joins repaired."""
-        edges = [0, *cuts, len(raw)]
-        if len(edges) == 2:
+        if not cuts:
             return self.chunk(raw)
+        edges = [*cuts, len(raw)]
         out: list[np.ndarray] = []
-        ids, begin, done = self.chunk(raw[edges[0]:edges[1]]), 0, 0  # tokens of [begin, end) from ``done`` on are right so far
-        for k in range(1, len(edges) - 1):
-            cut, end = edges[k], edges[k + 1]
-            nxt = self.chunk(raw[cut:end])
-            left = last_sync(raw, begin + int(self.length[ids[:done]].sum()), cut)
-            i = self.border(ids, left - begin) if left >= 0 else done
-            if i < done:
-                i = done
-            left = begin + int(self.length[ids[:i]].sum())
-            right = first_sync(raw, cut, end)
-            j = self.border(nxt, right - cut) if right >= 0 else -1
-            if j < 0 and k < len(edges) - 2:  # no agreement in this chunk: take it whole into the stretch and go on
+        ids, begin, done = self.chunk(raw[:cuts[0]]), 0, 0  # a chunk and its start; its tokens before ``done`` are not used
+        left = -1  # where the open stretch starts
+        for cut, end in zip(edges, edges[1:]):
+            if left < 0:
+                settled = begin + int(self.length[ids[:done]].sum())
+                left = last_sync(raw, settled, cut)
+                i = self.border(ids, left - begin) if left >= 0 else -1
+                if i < done:
+                    left, i = settled, done
                 out.append(ids[done:i])
-                ids, begin, done = self.plain(raw[left:end].decode("utf-8", "replace")), left, 0
+            right = cut if left == cut else first_sync(raw, cut, end)
+            if right < 0:
+                continue  # the stretch goes on
+            nxt = self.chunk(raw[cut:end])
+            j = self.border(nxt, right - cut)
+            if j < 0:
                 continue
-            stop = right if j >= 0 else len(raw)
-            out += [ids[done:i], self.plain(raw[left:stop].decode("utf-8", "replace"))]
-            ids, begin, done = nxt, cut, j if j >= 0 else len(nxt)
-        out.append(ids[done:])
+            if right > left:
+                out.append(self.plain(raw[left:right].decode("utf-8", "replace")))
+            ids, begin, done, left = nxt, cut, j, -1
+        out.append(ids[done:] if left < 0 else self.plain(raw[left:].decode("utf-8", "replace")))
         return np.concatenate(out)
 
     def encode(self, raw: bytes, cuts: list[int]) -> np.ndarray:
         """Ids of a text as the library gives them; ``cuts`` are its chunk borders."""
         if not raw:
             return np.zeros(0, np.uint32)
-        if not self.cut or b"<" not in raw and not any(s.isalnum() for s in self.special):
-            return self.joined(raw, cuts)
-        text = raw.decode("utf-8", "replace")
-        found = list(self.cut.finditer(text))
-        if not found:
+        if self.fast is None:
+            return self.plain(raw.decode("utf-8", "replace"))
+        if not any(m in raw for m in self.marks):
             return self.joined(raw, cuts)
         out, at = [], 0
-        for m in found:
-            if m.start() > at:
-                out.append(self.plain(text[at:m.start()]))
-            out.append(np.array([self.special[m[0]]], np.uint32))
-            at = m.end()
-        if at < len(text):
-            out.append(self.plain(text[at:]))
+        for m in [*self.cut_bytes.finditer(raw), None]:
+            end = m.start() if m else len(raw)
+            if end > at:
+                out.append(self.joined(raw[at:end], [c - at for c in cuts if at < c < end]))
+            if m:
+                out.append(np.array([self.special[m[0].decode()]], np.uint32))
+                at = m.end()
         return np.concatenate(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -168,12 +178,20 @@ class Codec:
 
 
 def _syncs(raw: bytes, lo: int, hi: int):
-    """Byte positions of sync points p with lo < p and p + 1 < hi."""
+    """Byte positions of the sync points p with lo < p <= hi (the character behind ``hi`` is looked at too)."""
     while lo < hi and raw[lo] & 0xC0 == 0x80:
         lo += 1
-    text = raw[lo:hi].decode("utf-8", "ignore")
+    to = min(len(raw), hi + 4)
+    text = raw[lo:to].decode("utf-8", "ignore")
+    at, chars = lo, 0
     for m in SYNC.finditer(text):
-        yield lo + len(text[:m.start()].encode())
+        k = m.start()
+        at, chars = at + len(text[chars:k].encode()), k
+        if at > hi:
+            return
+        # code points that this version does not know may be of another kind to the encoder
+        if unicodedata.category(text[k - 1]) != "Cn" and unicodedata.category(text[k]) != "Cn":
+            yield at
 
 
 def last_sync(raw: bytes, lo: int, hi: int) -> int:
@@ -193,8 +211,8 @@ def first_sync(raw: bytes, lo: int, hi: int) -> int:
     while True:
         at = min(hi, lo + step)
         p = next(_syncs(raw, lo, at), -1)
-        if p >= 0 or at == hi:
-            return p
+        if 0 <= p < hi or at == hi:
+            return p if p < hi else -1
         step *= 4
 
 
