@@ -28,6 +28,7 @@ HIDDEN = 16
 ATTENTION = 8
 PER_CLASS = 4096
 EPOCHS = 30
+LEARNED_PASSAGES = 128
 #: Shares of bytes: (name, bytes).
 CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b".", b",", b"!", b"?", b"#", b"*", b"$", b"%", b"&",
            b"|", b"<>", b"{}[]()", b"@_/\\^~`=+", b"\"'", b":;-", b"\n", bytes(range(128, 256))]
@@ -153,13 +154,18 @@ class Classifier:
         return sigmoid(self.forward(x, at)[0])
 
 
-def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = PER_CLASS) -> Classifier:
-    """Collect the passages of a bounded labelled sample and fit the classifier."""
+def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = PER_CLASS, learned_passages: int = LEARNED_PASSAGES) -> Classifier:
+    """Collect the passages of a bounded labelled sample and fit the classifier.
+
+    At most ``per_class`` documents of each class and ``learned_passages`` evenly spaced passages of each are
+    learned from, so what reaches the driver is bounded; scoring uses all passages.
+    """
     def bags(batches):
         for batch in batches:
             for piece, raw in slices(batch):
                 x, owner = passages(raw)
                 rows = np.split(x, starts_of(owner)[1:]) if len(owner) else []
+                rows = [v[np.unique(np.linspace(0, len(v) - 1, learned_passages).astype(np.int64))] if len(v) > learned_passages else v for v in rows]
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id").cast(pa.string()), piece.column("y"), pa.array([v.astype("<f4").tobytes() for v in rows], pa.binary())], ["doc_id", "y", "x"])
 
     rows = labelled_sample(docs, labels, column, per_class).mapInArrow(bags, "doc_id string, y int, x binary").toArrow().to_pylist()

@@ -140,9 +140,22 @@ def test_language_model_without_rows(spark):
     assert lm_scores.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_packed_ids():
-    a = np.array([0, 1, (1 << 48) - 1, 12345678901], np.uint64)
-    assert (lm_scores.unpack48(lm_scores.pack48(a)) == a).all()
+def test_packed_arrays():
+    for a in ([], [0], [1, 255], [256, 3], [1 << 40, 7], [(1 << 64) - 1, 0]):
+        a = np.array(a, np.uint64)
+        assert (lm_scores.unpack(lm_scores.pack(a)) == a).all() and len(lm_scores.unpack(lm_scores.pack(a))) == len(a)
+    f = np.array([0.5, -1e300, 3.0])
+    assert (lm_scores.unpack(lm_scores.pack(f), "f") == f).all()
+
+
+def test_passages_learned_from_are_bounded(spark, monkeypatch):
+    """A long labelled text sends a few passages to the driver, and is scored by all of them."""
+    docs = spark.createDataFrame([(k, "word " * (64 * k)) for k in range(1, 13)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 13)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier.Classifier, "fit", lambda self, bags, y: seen.extend(len(b) for b in bags) or self)
+    quality_classifier.train(docs, labels, learned_passages=3)
+    assert seen and max(seen) == 3
 
 
 def _held_out(out, labels, column):
