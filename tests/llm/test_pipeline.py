@@ -39,7 +39,7 @@ def test_stages_keep_the_columns(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     import __spark_entry__ as E
 
