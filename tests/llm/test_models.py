@@ -58,6 +58,21 @@ def test_copies_do_not_set_the_bands(spark):
     assert not any(many[1000 + k][0] for k in range(6)) and sum(many[k][0] for k in range(400)) > 380
 
 
+def test_bytes_of_other_scripts_stay_apart(spark):
+    """Greek letters with the last bytes of the Cyrillic ones are no Cyrillic text: every byte is a symbol of its own."""
+    r = random.Random(2)
+    text = lambda letters: " ".join("".join(r.choice(letters) for _ in range(6)) for _ in range(80))
+    cyrillic = "абвгде"
+    greek = "".join(chr(ord(c) - 0x80) for c in cyrillic)
+    assert [c.encode()[1:] for c in greek] == [c.encode()[1:] for c in cyrillic]
+    rows = [(k, text(cyrillic), "ru") for k in range(200)] + [(500, text(greek), "ru")]
+    got = {x.doc_id: x for x in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[k].kept for k in range(200))
+    assert not got[500].kept and not got[500].base_failed
+    every = np.arange(256, dtype=np.uint8)
+    assert len({int(quality_rules.trigram_codes(np.array([b], np.uint8), np.array([0, 1]))[0]) for b in every}) == 256
+
+
 def test_character_model_sums_to_one_and_backs_off():
     r = np.random.default_rng(0)
     codes, counts = np.unique(r.integers(0, 8, 4000) << 14 | r.integers(0, 8, 4000) << 7 | r.integers(0, 6, 4000), return_counts=True)
