@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .shared import ship, written
+from .shared import dropped, freed_shuffles, ship, written, written_by
 
 MAGIC = b"WARC/1.0\r\n"
 END = b"\r\n\r\n"
@@ -52,11 +52,13 @@ def with_types(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     """page_id, url, html with payload_digest, payload_bytes, record_type and refers_to."""
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("payload_digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    # Only payloads that occur again: their first id, added up per task before the shuffle.
+    # Only payloads that occur again: their first id, added up per task before the shuffle.  They are written first, so
+    # that Spark knows their size before the join and leaves the payloads where they are while the digests are few.
     firsts = (pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).where(F.octet_length("html") >= least)
               .select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest"))
               .groupBy("digest").agg(F.min("page_id").alias("first_id"), F.max(F.col("page_id").isNull()).alias("has_null"), F.max("page_id").alias("last_id"))
               .where((F.col("first_id") < F.col("last_id")) | F.col("has_null")).select("digest", "first_id"))
+    firsts = written(firsts, "warc-firsts", free=True)
     again = F.col("first_id").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first_id"))) & (F.col("payload_bytes") >= least)
     return p.join(firsts, F.col("payload_digest") == F.col("digest"), "left").select(
         "page_id", "url", "html", "payload_digest", "payload_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"),
@@ -85,7 +87,9 @@ def records(typed: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, least: int = REVISIT_BYTES) -> None:
-    records(with_types(pages, least)).write.option("lineSep", "\n").text(path)
+    rows = records(with_types(pages, least))
+    with freed_shuffles(pages.sparkSession):
+        rows.write.option("lineSep", "\n").text(path)
 
 
 # -- reading --------------------------------------------------------------------------
@@ -193,7 +197,7 @@ def reached_entries(heads: DataFrame) -> DataFrame:
     reached = heads.where("at = 0").select("file", "at")
     size = -1
     while True:
-        jump, reached = written(jump.select("file", "at", "to"), "warc-jumps"), written(reached, "warc-reached")
+        jump, reached = written(jump.select("file", "at", "to"), "warc-jumps", free=True), written(reached, "warc-reached", free=True)
         now = reached.count()
         if now == size or jump.isEmpty():
             return reached
@@ -226,21 +230,24 @@ def mark_chain(t: pa.Table) -> pa.Table:
 
 def verified(spark: SparkSession, path: str) -> DataFrame:
     """All chunks with absolute offsets, marked ``record`` where the chain from the file's start reaches them."""
-    c = written(candidates(spark, path), "warc-candidates")
+    c, read = written_by(candidates(spark, path), "warc-candidates")
     c = c.join(bases(c), ["file", "block"])
     a = c.select(*[k for k in c.columns if k not in ("rel", "succ", "way_out", "base")], (F.col("rel") + F.col("base")).alias("start"),
                  (F.col("succ") + F.col("base")).alias("stop"), (F.col("way_out") + F.col("base")).alias("to"))
-    a = written(a, "warc-offsets")
+    a, placed_at = written_by(a, "warc-offsets")
+    dropped(spark, read)
     targets = a.where("to IS NOT NULL").select("file", F.col("to").alias("start")).distinct()
     valid = a.where("candidate AND stop IS NOT NULL").select("file", "block", "start", "to")
     heads = valid.join(targets, ["file", "start"], "left_semi").unionByName(valid.where("start = 0")).distinct()
-    heads = written(heads.withColumnRenamed("start", "at"), "warc-heads")
+    heads = written(heads.withColumnRenamed("start", "at"), "warc-heads", free=True)
     entries = heads.join(reached_entries(heads), ["file", "at"], "left_semi").groupBy("file", "block").agg(F.min("at").alias("entry"))
     after = Window.partitionBy("file").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
     splits = a.select("file", "block").distinct().join(entries, ["file", "block"], "left").select("file", "block", "entry", F.min("entry").over(after).alias("next_entry"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in a.schema)
-    return a.join(splits, ["file", "block"]).groupBy("file", "block").applyInArrow(
-        mark_chain, f"{fields}, entry long, next_entry long, record boolean, record_end long")
+    marked = written(a.join(splits, ["file", "block"]).groupBy("file", "block").applyInArrow(
+        mark_chain, f"{fields}, entry long, next_entry long, record boolean, record_end long"), "warc-records", free=True)
+    dropped(spark, placed_at)
+    return marked
 
 
 def assembled(t: pa.Table) -> pa.Table:
@@ -255,7 +262,7 @@ def assembled(t: pa.Table) -> pa.Table:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of every record of the archives."""
     ship(spark)
-    v = written(verified(spark, path), "warc-records")
+    v = verified(spark, path)
     rows = v.where("record")
     spanning = rows.where("NOT inside").select("file", "record_end", "content")
     if not spanning.isEmpty():

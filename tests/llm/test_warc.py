@@ -69,6 +69,27 @@ def test_archive_is_a_chain_of_records(spark):
     assert Counter(types) == {"response": 1, "revisit": 1}
 
 
+def test_payloads_are_not_shuffled_beside_few_copies(spark, tmp_path):
+    """The join with the repeated digests is a broadcast from the start: no exchange of payloads lies below it."""
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([(k, "u", f"{k % 90}" * 500) for k in range(100)], "page_id long, url string, html string").repartition(3).write.parquet(path)
+    typed = warc.with_types(spark.read.parquet(path))
+    plan = typed._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert Counter(r.record_type for r in typed.collect()) == {"response": 90, "revisit": 10}
+    assert "hashpartitioning" not in typed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_archives_and_records_stay_on_disk(spark, tmp_path, monkeypatch):
+    """Tables that the next one replaces are dropped, whatever the number of splits."""
+    monkeypatch.setattr("skytally.llm.shared.scratch_dir", lambda _, label: str(tmp_path / f"{label}-{len(list(tmp_path.iterdir()))}"))
+    path = scratch_dir(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame([(k, "u", "a" * 120) for k in range(20)], "page_id long, url string, html string").repartition(3), path)
+    assert warc.read_warc(spark, path).count() == 20
+    left = {x.name.rsplit("-", 1)[0] for x in tmp_path.iterdir()}
+    assert "warc-records" in left and not left & {"warc-candidates", "warc-offsets"}
+
+
 def test_exits_by_pointer_jumping():
     rel, succ = np.array([0, 10, 20, 30, 40]), np.array([10, 40, 25, -1, 100])
     assert warc.exits(rel, succ, 50).tolist() == [100, 100, -1, -1, 100]
