@@ -44,21 +44,26 @@ from .shared import dropped, freed_shuffles, ship, written, written_by
 MAGIC = b"WARC/1.0\r\n"
 END = b"\r\n\r\n"
 REVISIT_BYTES = 100
+FEW = 100_000  # repeated digests: some 5 MB as written
+SLICES = 4
 
 
 # -- writing ------------------------------------------------------------------------
 
-def with_types(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, html with payload_digest, payload_bytes, record_type and refers_to."""
-    p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    p = p.withColumn("payload_digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    # Only payloads that occur again: their first id, added up per task before the shuffle.  They are written first, so
-    # that Spark knows their size before the join and leaves the payloads where they are while the digests are few.
+def repeated(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+    """digest and first_id of the payloads that occur again, written: Spark knows their size before it joins them."""
+    # The first id is found per task before the shuffle.
     firsts = (pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).where(F.octet_length("html") >= least)
               .select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest"))
               .groupBy("digest").agg(F.min("page_id").alias("first_id"), F.max(F.col("page_id").isNull()).alias("has_null"), F.max("page_id").alias("last_id"))
               .where((F.col("first_id") < F.col("last_id")) | F.col("has_null")).select("digest", "first_id"))
-    firsts = written(firsts, "warc-firsts", free=True)
+    return written(firsts, "warc-firsts", free=True)
+
+
+def with_types(pages: DataFrame, firsts: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+    """page_id, url, html with payload_digest, payload_bytes, record_type and refers_to; ``firsts`` as ``repeated`` gives them."""
+    p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    p = p.withColumn("payload_digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("payload_bytes", F.octet_length("html").cast("long"))
     again = F.col("first_id").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first_id"))) & (F.col("payload_bytes") >= least)
     return p.join(firsts, F.col("payload_digest") == F.col("digest"), "left").select(
         "page_id", "url", "html", "payload_digest", "payload_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"),
@@ -87,9 +92,19 @@ def records(typed: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, least: int = REVISIT_BYTES) -> None:
-    rows = records(with_types(pages, least))
+    """Write all pages as archives.
+
+    While the repeated digests are few, Spark broadcasts them and payloads stay where they
+    are.  Many are joined by a shuffle of the payloads, a slice of the digests after
+    the other, so that only a slice of them lies beside the archives.
+    """
+    firsts = repeated(pages, least)
+    slices = 1 if firsts.count() <= FEW else SLICES
+    typed = with_types(pages, firsts, least)
     with freed_shuffles(pages.sparkSession):
-        rows.write.option("lineSep", "\n").text(path)
+        for k in range(slices):
+            here = typed if slices == 1 else typed.where(F.crc32(F.col("payload_digest").cast("binary")) % slices == k)
+            records(here).write.mode("append" if k else "errorifexists").option("lineSep", "\n").text(path)
 
 
 # -- reading --------------------------------------------------------------------------

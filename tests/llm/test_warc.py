@@ -73,13 +73,24 @@ def test_payloads_are_not_shuffled_beside_few_copies(spark, tmp_path):
     """The join with the repeated digests is a broadcast from the start: no exchange of payloads lies below it."""
     path = str(tmp_path / "pages")
     spark.createDataFrame([(k, "u", f"{k % 90}" * 500) for k in range(100)], "page_id long, url string, html string").repartition(3).write.parquet(path)
-    typed = warc.with_types(spark.read.parquet(path))
+    pages = spark.read.parquet(path)
+    typed = warc.with_types(pages, warc.repeated(pages))
     plan = typed._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert Counter(r.record_type for r in typed.collect()) == {"response": 90, "revisit": 10}
     assert "hashpartitioning" not in typed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_many_repeated_digests_are_joined_in_slices(spark, monkeypatch):
+    rows, jobs = _pages(), []
+    made = warc.records
+    monkeypatch.setattr(warc, "FEW", 3)
+    monkeypatch.setattr(warc, "records", lambda typed: jobs.append(typed) or made(typed))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    T.same(warc.warc_round_trip(pages).collect(), _expected(rows))
+    assert len(jobs) == warc.SLICES
+
+
 def test_only_archives_and_records_stay_on_disk(spark, tmp_path, monkeypatch):
     """Tables that the next one replaces are dropped, whatever the number of splits."""
     monkeypatch.setattr("skytally.llm.shared.scratch_dir", lambda _, label: str(tmp_path / f"{label}-{len(list(tmp_path.iterdir()))}"))
