@@ -48,6 +48,7 @@ from .batch import LINE_LAYOUT, RunOptions, run_batch
 MARK = _dt.date(1999, 12, 31)        # split point of all incremental queries
 LATE_FROM = _dt.date(1999, 7, 1)     # second batch re-sends rows from here on
 AFTER_ALL = _dt.date(2100, 1, 1)     # a cut that leaves no rows
+FILE_LINES = 1_000_000               # lines of an inbox file at most
 
 
 class Inputs:
@@ -377,6 +378,14 @@ def q_full_run_from_text(spark, sf_dir):
     return stack_metrics(run_batch(spark, base, second, airlines, airports).metrics)
 
 
+def write_arrival(flights: DataFrame, inbox: str, most: int) -> None:
+    """Add flights to an inbox as raw text files of ``most`` lines at most, from the partitions they lie in."""
+    lines = flight_lines(flights)
+    lines.select(F.col(lines.columns[0]).alias("line")).write.mode("append").option("maxRecordsPerFile", most) \
+        .option("header", True).option("sep", "\u001f").option("emptyValue", "") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(inbox)
+
+
 def q_stream_two_arrivals(spark, sf_dir):
     """The file stream over an inbox that gets two arrivals of several files each."""
     from ..streaming import start_incremental
@@ -384,10 +393,10 @@ def q_stream_two_arrivals(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     base, inbox = scratch_dir(spark, "runs"), scratch_dir(spark, "inbox")
     d = F.col("flight_date")
+    # several files each: of a million lines, or a sixth of the flights where they are few
+    most = max(1, min(FILE_LINES, table(spark, sf_dir, "lineitem").count() // 6))
     for rows in (i.flights.where(d <= date_lit(MARK)), i.flights.where(d > date_lit(MARK))):
-        lines = flight_lines(rows).repartition(3)
-        lines.select(F.col(lines.columns[0]).alias("line")).write.mode("append").option("header", True).option("sep", "\u001f") \
-            .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(inbox)
+        write_arrival(rows, inbox, most)
         query = start_incremental(spark, inbox, i.airlines, i.airports, base)
         query.awaitTermination()
         if query.exception() is not None:
