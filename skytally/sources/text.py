@@ -81,27 +81,32 @@ def parse_flight_lines(lines: DataFrame) -> DataFrame:
     form a real date.  Single-digit months and days get a leading zero
     first.  Surplus fields are ignored.
 
-    Each line is split exactly once.  The split sits in a generator
-    (``explode`` of a one-element array): Catalyst does not push filters
-    below a generator, so the row check and the date cut further up read
-    the split array instead of re-splitting the line for every field they
-    touch (filters get no common-subexpression elimination).
+    Each line is split, and its fields and date are taken from it, exactly once.
+    Both steps sit in generators (of one-element arrays): Catalyst neither
+    pushes filters below a generator nor merges the projections above it into
+    it, so the row check, the date cut and the counts further up read finished
+    columns instead of parsing the line again wherever they mention one (filters
+    get no common-subexpression elimination).
     """
     split = lines.select(
         "line", "_spill", F.explode(F.array(F.split(F.col("line"), ",", -1))).alias("fields")
     )
     fields = F.col("fields")
-    n_fields = F.size(fields)
     flight_date = strict_date(_field(fields, "year"), _field(fields, "month"), _field(fields, "day"))
+    parsed = split.select("line", "_spill", F.inline(F.array(F.struct(
+        F.size(fields).alias("_n_fields"),
+        flight_date.alias("flight_date"),
+        *[_field(fields, c).alias(c) for c in FLIGHT_COLUMNS[1:]],
+    ))))
+    n_fields = F.col("_n_fields")
     problem = (
         F.when(F.col("_spill").isNotNull(), F.lit("line contains a U+001F character"))
         .when(n_fields < MIN_FIELDS,
               F.concat(F.lit(f"expected at least {MIN_FIELDS} fields, found "), n_fields.cast("string")))
-        .when(flight_date.isNull(), F.lit("year, month and day do not form a date"))
+        .when(F.col("flight_date").isNull(), F.lit("year, month and day do not form a date"))
     )
-    return split.select(
-        flight_date.alias("flight_date"),
-        *[_field(fields, c).alias(c) for c in FLIGHT_COLUMNS[1:]],
+    return parsed.select(
+        *FLIGHT_COLUMNS,
         F.when(problem.isNotNull(), F.concat(problem, F.lit(": "), F.col("line"))).alias("_problem"),
     )
 
