@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     smaller neighbours too.  Every round is written to the shared folder, so a lost executor
     costs a round at most; minima are added up per task before a shuffle.
     """
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
+    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components", free=True)
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(down, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        now = written(small, "components")
+        now = written(small, "components", free=True)
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if mark == (state.n, state.s):
             break

@@ -11,15 +11,20 @@ A document's set holds its distinct shingles.  Two documents link when
    document, then shared ones, then frequent ones, each by hash.
 3. Two sets that link share a shingle within their prefixes in that order
    (``n - ceil(percent * n / 100) + 1`` of n).  Prefix shingles of one document only meet
-   nobody, so most documents drop out here.  Documents that share a
-   prefix shingle, directly or through others, form a block.
+   nobody, so most documents drop out here.  Sets that share a prefix shingle are
+   candidates if their sizes and *sketches* (how many shingles fall on each of ``PARTS`` parts of
+   the hashes) allow enough common ones; sets that are candidates, directly or through others, form a block.
+   A common phrase alone so joins nobody, and blocks stay about as large as the groups of near copies.
 4. Within a block, a *signature tree* over the sets sorted by size: leaves are
    sets, inner nodes hold the OR of their token bitmaps and the range of their sizes.
    A dual traversal drops pairs of nodes that cannot overlap enough:
    a common token needs a common bit, so two sets overlap at most by the common bits of
    their nodes plus the tokens that fell on taken bits.  What is left is compared exactly;
    pairs already connected are skipped, so large groups of copies cost few comparisons.
-5. Blocks of more than ``BLOCK`` sets are split; every pair of parts is a task of its own.
+5. Sets are not kept: those of blocks, one per class, are made again from the texts and sent to the
+   tasks of their blocks.  Blocks of more than ``BLOCK`` sets are split.  Each part is compared with itself and the first one,
+   which connects near copies; then the sets outside the largest component found so far
+   are compared with all, part by part.  So a set goes to two tasks, and to more only beside many sets that are left out.
 
 The bitmaps are bounded (``2**MOST_BITS`` bits) and affect the order only: any
 order gives the same links.
@@ -47,6 +52,10 @@ LEAST_BITS, MOST_BITS = 16, 30
 FREQUENT = 32
 FLUSH = 1 << 20
 BLOCK = 4096
+PARTS = 128
+FEW = 64             # sets of a shingle of which all pairs are looked at, at once
+PAIRS = 1 << 17
+TOKENS = 1 << 16     # prefix shingles in a task
 FAN = 8
 CHUNK = 1 << 14
 LAST_ID = (1 << 63) - 1
@@ -156,13 +165,19 @@ def marked(packed: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
     return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-SETS = "ord long, key long, n long, node long, prefix array<long>, tokens binary"
+SETS = "ord long, key long, n long, node long, prefix array<long>, sketch binary"
+
+
+def sketches(s: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+    """How many shingles of each of ``k`` sets fall on each part of the hashes, 255 at most."""
+    part = (s >> np.uint64(20)).astype(np.int64) % PARTS
+    return np.minimum(np.bincount(d * PARTS + part, minlength=k * PARTS), 255).astype(np.uint8).reshape(k, PARTS)
 
 
 def described(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
-    """Per row of ``docs`` (ord, key, text): size of the set, class, shared prefix shingles and, where there are any, the set.
+    """Per row of ``docs`` (ord, key, text): size of the set, class and, where the prefix has shared shingles, these and the sketch of the set.
 
-    A task gives prefix and set of a class once.
+    A task gives prefix and sketch of a class once.
     """
     def run(batches):
         maps = shared.value
@@ -185,19 +200,80 @@ def described(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
                 node = mix(total[begin + n] - total[begin] + n.astype(np.uint64)).view(np.int64)
                 edge = np.append(0, np.cumsum(some)).tolist()
                 chosen = s[pick].view(np.int64)
-                prefix, tokens = [], []
-                for i, (x, a, c, m) in enumerate(zip(node.tolist(), begin.tolist(), n.tolist(), some.tolist())):
+                sketch = sketches(s, d, k)
+                prefix, short = [], []
+                for i, (x, m) in enumerate(zip(node.tolist(), some.tolist())):
                     new = m > 0 and x not in given
                     given.update([x] * new)
                     prefix.append(chosen[edge[i]:edge[i + 1]] if new else None)
-                    tokens.append(s[a:a + c].tobytes() if new else None)
+                    short.append(sketch[i].tobytes() if new else None)
                 prefix = pa.array(prefix, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([piece.column("ord"), piece.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64(), mask=n == 0), prefix, pa.array(tokens, pa.binary())],
-                                                 ["ord", "key", "n", "node", "prefix", "tokens"])
+                yield pa.RecordBatch.from_arrays([piece.column("ord"), piece.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64(), mask=n == 0), prefix, pa.array(short, pa.binary())],
+                                                 ["ord", "key", "n", "node", "prefix", "sketch"])
 
     return docs.select("ord", "key", "text").mapInArrow(run, SETS)
 
 
+# -- candidates ---------------------------------------------------------------------------
+
+class Sketches:
+    """Sizes and sketches of sets, sorted by size; ``extra`` counts the shingles beyond 255 in a part."""
+
+    def __init__(self, n: np.ndarray, counts: np.ndarray):
+        self.n, self.counts = n, counts
+        self.extra = n - counts.sum(1, dtype=np.int64)
+
+    def can_link(self, i, j: np.ndarray, percent: int) -> np.ndarray:
+        """Which pairs may overlap enough: two sets have at most the smaller count of each part in common."""
+        both = self.n[i] + self.n[j]
+        ok = np.flatnonzero(100 * np.minimum(self.n[i], self.n[j]) >= percent * np.maximum(self.n[i], self.n[j]))
+        i, j, both = i[ok] if np.ndim(i) else i, j[ok], both[ok]
+        common = np.minimum(self.counts[i], self.counts[j]).sum(1, dtype=np.int64) + np.minimum(self.extra[i], self.extra[j])
+        return ok[common * (100 + percent) >= percent * both]
+
+
+def spanning(x: Sketches, a: int, b: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs that connect the candidates among the sets [a, b), which lie by size; sets once reached are not compared again."""
+    found = []
+    rest = np.arange(a, b)
+    while len(rest):
+        reached, rest = [int(rest[0])], rest[1:]
+        while reached and len(rest):
+            i = reached.pop()
+            size = x.n[rest]
+            lo, hi = np.searchsorted(size, -(-percent * x.n[i] // 100)), np.searchsorted(size, 100 * x.n[i] // percent, "right")
+            hit = lo + x.can_link(i, rest[lo:hi], percent)
+            if len(hit):
+                found += [(i, j) for j in rest[hit].tolist()]
+                reached += rest[hit].tolist()
+                rest = np.delete(rest, hit)
+    return found
+
+
+def candidates(token: np.ndarray, node: np.ndarray, n: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """(node, node) rows that connect the sets of each shingle that may link."""
+    order = np.lexsort((node, n, token))
+    token, node = token[order], node[order]
+    new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))  # tasks that met the same class told of it once each
+    order, token, node = order[new], token[new], node[new]
+    x = Sketches(n[order], counts[order])
+    at = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    end = np.append(at[1:], len(token))
+    out = [np.array([(node[i], node[j]) for a, b in zip(at.tolist(), end.tolist()) if b - a > FEW for i, j in spanning(x, a, b, percent)], np.int64).reshape(-1, 2)]
+    stop = np.repeat(np.where(end - at > FEW, 0, end), end - at)
+    later = np.maximum(stop - np.arange(len(token)) - 1, 0)  # sets of the same shingle after each
+    total = np.append(0, np.cumsum(later))
+    lo = 0
+    while lo < len(token):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + PAIRS, "right")) - 1)
+        i = np.repeat(np.arange(lo, hi), later[lo:hi])
+        j = i + 1 + np.arange(len(i)) - (total[i] - total[lo])
+        hit = x.can_link(i, j, percent)
+        out.append(np.stack([node[i[hit]], node[j[hit]]], 1))
+        lo = hi
+    return np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+
+
 # -- signature trees -------------------------------------------------------------------
 
 class SignatureTree:
@@ -320,25 +396,51 @@ def block_links(nodes: np.ndarray, side: np.ndarray, sets: list[np.ndarray], per
 
 # -- the join ---------------------------------------------------------------------------
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """u, v: enough links between classes to connect each component."""
-    spark = sets.sparkSession
-    active = sets.where("tokens IS NOT NULL").select("node", "ord", "prefix", "tokens")
+def blocks_of(sets: DataFrame, percent: int) -> DataFrame:
+    """node, block, ord, key: the classes that may link with another one, the smallest of their block, and one of their documents."""
+    active = sets.where("prefix IS NOT NULL")
     tokens = active.select("node", F.explode("prefix").alias("token"))
-    least = tokens.groupBy("token").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").select("token", "v")
-    blocks = components(tokens.join(least, "token").select(F.col("node").alias("u"), "v"))
-    blocks = written(blocks.withColumnRenamed("root", "block"), "jaccard-blocks")
-    counts = blocks.groupBy("block").agg(F.count("*").alias("members")).withColumn("pieces", F.ceil(F.col("members") / BLOCK).cast("int"))
-    buckets = max(parts(spark), blocks.count() // BLOCK)
-    # What to send where is settled before the sets themselves are moved: one row per class.
-    one_each = active.groupBy("node").agg(F.min("ord").alias("ord"))
-    plan = blocks.join(counts, "block").join(one_each, "node").select("node", "ord", "block", "pieces")
-    rows = active.select("node", "ord", "tokens").join(plan, ["node", "ord"])
-    piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
-    one = rows.where("pieces = 1").select(F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("task"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), "block", F.lit(0).alias("side"), "node", "tokens")
-    many = (rows.where("pieces > 1").select("block", "node", "tokens", piece.alias("own"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
-            .select(F.col("block").alias("task"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "block", (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "tokens"))
+    buckets = max(parts(sets.sparkSession), (active.agg(F.sum(F.size("prefix"))).first()[0] or 0) // TOKENS)
+    shared = tokens.groupBy("token").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").select("token")
+    # Sketches follow only the shingles that two classes have.
+    one_each = active.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    rows = tokens.join(shared, "token").join(one_each, "node").select(F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("task"), "token", "node", "n", "sketch")
+
+    def pairs(t: pa.Table) -> pa.Table:
+        counts = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, PARTS)
+        found = candidates(t.column("token").to_numpy(), t.column("node").to_numpy(), t.column("n").to_numpy(), counts, percent)
+        trim()
+        return pa.table({"u": pa.array(found[:, 0]), "v": pa.array(found[:, 1])})
+
+    blocks = components(rows.groupBy("task").applyInArrow(pairs, "u long, v long")).withColumnRenamed("root", "block")
+    document = active.groupBy("node").agg(F.min(F.struct("ord", "key")).alias("least")).select("node", "least.ord", "least.key")
+    return blocks.join(document, "node")
+
+
+def sets_of(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
+    """ord, key, tokens: the sets of the documents ``wanted`` (ord, key), and of a few others that share a bit of a bitmap with one."""
+    spark = docs.sparkSession
+    h = wanted.select(F.xxhash64("ord", "key").alias("h")).toArrow().column("h").to_numpy().view(np.uint64)
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * len(h)).bit_length()))
+    packed = np.zeros((1 << bits) // 8, np.uint8)
+    slot = (h >> np.uint64(64 - bits)).astype(np.int64)
+    np.bitwise_or.at(packed, slot >> 3, np.uint8(128) >> (slot & 7).astype(np.uint8))
+    shared = spark.sparkContext.broadcast(packed)
+
+    def run(batches):
+        for batch in batches:
+            own = np.flatnonzero(marked(shared.value, bits, batch.column("h").to_numpy().view(np.uint64)))
+            for piece, raw in slices(batch.take(pa.array(own))):
+                s, d = shingle_sets(raw, width)
+                end = np.cumsum(np.bincount(d, minlength=len(raw))).tolist()
+                tokens = pa.array([s[a:b].tobytes() for a, b in zip([0, *end], end)], pa.binary())
+                yield pa.RecordBatch.from_arrays([piece.column("ord"), piece.column("key"), tokens], ["ord", "key", "tokens"])
 
+    return docs.select("ord", "key", F.xxhash64("ord", "key").alias("h"), "text").mapInArrow(run, "ord long, key long, tokens binary")
+
+
+def linked_sets(rows: DataFrame, percent: int) -> DataFrame:
+    """u, v: links among the sets of each task (``task``, ``i``, ``j``), block by block."""
     def link(t: pa.Table) -> pa.Table:
         block = t.column("block").to_numpy()
         order = np.argsort(block, kind="stable")
@@ -351,7 +453,56 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
         trim()
         return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
-    return one.unionByName(many).groupBy("task", "i", "j").applyInArrow(link, "u long, v long")
+    return rows.groupBy("task", "i", "j").applyInArrow(link, "u long, v long")
+
+
+def met(plan: DataFrame, others) -> DataFrame:
+    """A row per task of each class of ``plan`` (node, block, ord, key, own: its part): with each part of the array ``others``."""
+    out = plan.withColumn("other", F.explode(others))
+    return out.select(F.col("block").alias("task"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "block", (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "ord", "key")
+
+
+def pieces_of(count: str):
+    return F.ceil(F.col(count) / BLOCK).cast("int")
+
+
+def up_to(n):
+    """The numbers below ``n``, none for 0."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def first_tasks(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Where the classes go first: small blocks to a task, each part of a large one to its own task and to one with the first part."""
+    counts = blocks.groupBy("block").agg(F.count("*").alias("members")).withColumn("pieces", pieces_of("members"))
+    plan = blocks.join(counts, "block").withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    one = plan.where("pieces = 1").select(F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("task"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), "block", F.lit(0).alias("side"), "node", "ord", "key")
+    return one.unionByName(met(plan.where("pieces > 1"), F.when(F.col("own") == 0, up_to(F.col("pieces"))).otherwise(F.array(F.lit(0), "own"))))
+
+
+def second_tasks(blocks: DataFrame, roots: DataFrame) -> DataFrame:
+    """Where the classes of large blocks go then: those outside the largest component (``roots``) of their block meet all of it."""
+    large = blocks.groupBy("block").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK).select("block")
+    found = blocks.join(large, "block").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    most = found.groupBy("block", "root").agg(F.count("*").alias("n")).groupBy("block").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("members")).select(
+        "block", F.col("most.root").alias("main"), F.col("most.n").alias("inside"), (F.col("members") - F.col("most.n")).alias("outside"))
+    most = most.where("outside > 0").withColumn("rest", pieces_of("outside")).withColumn("pieces", pieces_of("inside"))
+    h = F.xxhash64("node")
+    plan = found.join(most, "block").withColumn("own", F.when(F.col("root") == F.col("main"), F.col("rest") + F.pmod(h, F.col("pieces"))).otherwise(F.pmod(h, F.col("rest"))).cast("int"))
+    return met(plan, up_to(F.when(F.col("own") < F.col("rest"), F.col("rest") + F.col("pieces")).otherwise(F.col("rest"))))
+
+
+def links(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """u, v: enough links between classes to connect each component."""
+    blocks = written(blocks_of(sets, percent), "jaccard-blocks", free=True)
+    # What to send where is settled before the sets themselves are moved: one row per class.
+    moved = lambda tasks, own: linked_sets(sets_of(docs, width, own).join(tasks, ["ord", "key"]), percent)
+    found = moved(first_tasks(blocks, max(parts(docs.sparkSession), blocks.count() // BLOCK)), blocks)
+    if blocks.groupBy("block").count().where(F.col("count") > BLOCK).isEmpty():
+        return found
+    found = written(found, "jaccard-links", free=True)
+    tasks = written(second_tasks(blocks, components(found)), "jaccard-tasks", free=True)
+    return found if tasks.isEmpty() else found.unionByName(moved(tasks, tasks.select("ord", "key").distinct()))
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -364,7 +515,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     shared = spark.sparkContext.broadcast(bitmaps(shingle_counts(docs, width, shards), shards, bits))
     release(spark)
     sets = written(described(docs, width, percent, shared), "jaccard-sets")
-    roots = components(links(sets, percent))
+    roots = components(links(docs, sets, width, percent))
     classes = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("ord").alias("least"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = classes.groupBy("root").agg(F.min("least").alias("component"))

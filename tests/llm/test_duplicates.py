@@ -27,6 +27,43 @@ def test_jaccard_bits_do_not_change_links(spark, monkeypatch):
     T.same(J.jaccard_join(T.frame(spark, docs), width=5, percent=80).collect(), T.components(docs, 5, 80))
 
 
+def _described(spark, docs):
+    docs = spark.createDataFrame(docs, "ord long, text string").selectExpr("ord", "xxhash64(text) key", "text").repartition(5)
+    maps = J.bitmaps(J.shingle_counts(docs, 4, 64), 64, 16)
+    return docs, J.described(docs, 4, 85, spark.sparkContext.broadcast(maps)).localCheckpoint()
+
+
+def test_common_phrases_make_no_blocks(spark):
+    """Texts that share one phrase each with the next are no candidates: their sets are not sent to one another."""
+    r = random.Random(4)
+    phrases = [" ".join(f"p{r.randrange(10 ** 6)}" for _ in range(4)) for _ in range(40)]
+    docs = [(k, " ".join(r.choice(phrases) for _ in range(6))) for k in range(300)]
+    copies = [(1000 + k, " ".join(f"c{j}" for j in range(60)) + f" end{k}") for k in range(10)]
+    docs, sets = _described(spark, docs + copies)
+    blocks = {r.block: r.members for r in J.blocks_of(sets, 85).groupBy("block").agg({"node": "count"}).withColumnRenamed("count(node)", "members").collect()}
+    assert max(blocks.values()) == 10 and sum(blocks.values()) < 60
+
+
+@pytest.mark.parametrize("apart", [0, 30])
+def test_sets_of_a_large_block_go_to_few_tasks(spark, monkeypatch, apart):
+    """A block of 200 sets in parts of 10: each was sent to 20 tasks."""
+    monkeypatch.setattr(J, "BLOCK", 10)
+    r = random.Random(6)
+    base = [f"b{k}" for k in range(90)]
+    docs = [(k, " ".join([*base, f"end{k}"])) for k in range(200)]
+    for k in range(apart):  # of the block, but linked with hardly any: every eleventh word is another one
+        words = list(base)
+        words[k % 11::11] = [f"x{r.randrange(10 ** 6)}" for _ in words[k % 11::11]]
+        docs.append((500 + k, " ".join(words)))
+    df, sets = _described(spark, docs)
+    blocks = J.blocks_of(sets, 85).localCheckpoint()
+    first = J.first_tasks(blocks, 8)
+    assert 200 <= first.count() <= 3 * (200 + apart)
+    found = components(J.linked_sets(J.sets_of(df, 4, blocks).join(first, ["ord", "key"]), 85))
+    assert J.second_tasks(blocks, found).count() <= 8 * (200 + apart)
+    T.same(J.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string")).collect(), T.components(docs))
+
+
 def test_one_document_of_each_group_stays(spark):
     docs = [d for d in T.edge_docs() if len(d[1] or "") < 10_000]
     df = T.frame(spark, docs)
