@@ -1,5 +1,6 @@
 """Quality rules, language model and the two classifiers."""
 
+import hashlib
 import math
 import random
 import re
@@ -73,6 +74,52 @@ def test_bytes_of_other_scripts_stay_apart(spark):
     assert len({int(quality_rules.trigram_codes(np.array([b], np.uint8), np.array([0, 1]))[0]) for b in every}) == 256
 
 
+def test_perplexity_of_character_trigrams(spark):
+    """Three characters of any script make a trigram, and a text's end is one too: as plain dictionaries have it."""
+    r = random.Random(3)
+    texts = ["".join(r.choice(letters) for _ in range(n)) for letters in ("abc d", "абвгд ", "日本語中文 ", "𝛼𝛽𝛾 \n") for n in (1, 2, 40, 300)]
+    grams = lambda t: [*zip(["", "", *t], ["", *t, "end"], [*t, "end"])]
+    fold = lambda t: hashlib.sha256(t.encode()).digest()[0] % 2
+    cut = lambda n, d: max(0, n - d[min(n, 3)])
+
+    def model(texts):
+        tri = Counter(g for t in texts for g in grams(t))
+        counts = [tri]
+        for _ in range(2):
+            counts.append(Counter(g[1:] for g in counts[-1]))
+        d = [discounts(*(Counter(x.values())[k] for k in (1, 2, 3, 4))) for x in counts]
+        total, left = Counter(), defaultdict(float)
+        for x, own in zip(counts, d):
+            for g, n in x.items():
+                total[g[:-1], len(g)] += n
+                left[g[:-1], len(g)] += n - cut(n, own)
+
+        def p(g):
+            if not g:
+                return 1 / (len(counts[2]) + 1)
+            k, c = 3 - len(g), (g[:-1], len(g))
+            return (cut(counts[k][g], d[k]) + left[c] * p(g[1:])) / total[c] if total[c] else p(g[1:])
+
+        return p
+
+    p = [model({t for t in texts if fold(t) != f}) for f in (0, 1)]
+    assert {fold(t) for t in texts} == {0, 1}
+    rows = [(k, t, "en") for k, t in enumerate([*texts, texts[3], "", None])]
+    got = {x.doc_id: x.perplexity for x in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect()}
+    for k, t, _ in rows:
+        if t:
+            assert math.isclose(got[k], math.exp(-sum(math.log(p[fold(t)](g)) for g in grams(t)) / (len(t) + 1)), rel_tol=1e-5), t
+        else:
+            assert got[k] is None
+
+
+def test_texts_that_are_no_utf8_keep_their_bounds():
+    raw = [b"\xce", b"\xb1x", "αβ".encode(), b"", b"\xff"]
+    offs = np.append(0, np.cumsum([len(x) for x in raw]))
+    sym, at = quality_rules.symbols(np.frombuffer(b"".join(raw), np.uint8), offs)
+    assert np.diff(at).tolist() == [2, 3, 3, 0, 2] and sym[at[2]:at[3]].tolist() == [ord("α") + 2, ord("β") + 2, quality_rules.END]
+
+
 def test_character_model_sums_to_one_and_backs_off():
     r = np.random.default_rng(0)
     codes, counts = np.unique(r.integers(0, 8, 4000) << 14 | r.integers(0, 8, 4000) << 7 | r.integers(0, 6, 4000), return_counts=True)
